@@ -84,8 +84,8 @@ def _lit(v, dtype: T.DataType | None) -> Column:
     return F.lit(v).cast(dtype)
 
 
-def _compare(field: str, op: str, v, dtype) -> Column:
-    c = F.col(field)
+def _compare(field, op: str, v, dtype) -> Column:
+    c = F.col(field) if isinstance(field, str) else field
     elem = dtype.elementType if isinstance(dtype, T.ArrayType) else None
     if op == "$eq":
         if v is None:
@@ -120,14 +120,20 @@ def _compare(field: str, op: str, v, dtype) -> Column:
     raise ValueError(f"unsupported query operator: {op}")
 
 
-def query_to_column(query: dict | None, schema: T.StructType | None = None) -> Column:
-    """a query document -> boolean Column (AND of its entries)."""
+def query_to_column(query: dict | None, schema: T.StructType | None = None,
+                    resolve=None) -> Column:
+    """a query document -> boolean Column (AND of its entries).
+
+    ``resolve(path) -> Column`` maps a field path to a column (default
+    ``F.col``); array filters use it to address a lambda element.
+    """
     if not query:
         return F.lit(True)
+    resolve = resolve or F.col
     parts: list[Column] = []
     for key, v in query.items():
         if key in ("$and", "$or", "$nor"):
-            subs = [query_to_column(q, schema) for q in v]
+            subs = [query_to_column(q, schema, resolve) for q in v]
             if key == "$and":
                 parts.append(reduce(lambda a, b: a & b, subs))
             elif key == "$or":
@@ -139,14 +145,14 @@ def query_to_column(query: dict | None, schema: T.StructType | None = None) -> C
         if isinstance(v, dict) and v and all(k.startswith("$") for k in v):
             for op, arg in v.items():
                 if op == "$not":
-                    parts.append(~F.coalesce(query_to_column({key: arg}, schema), F.lit(False)))
+                    parts.append(~F.coalesce(query_to_column({key: arg}, schema, resolve), F.lit(False)))
                 else:
-                    parts.append(_compare(key, op, arg, dtype))
+                    parts.append(_compare(resolve(key), op, arg, dtype))
         elif isinstance(v, dict):
             # nested document given as a sub-query on its fields
-            parts.append(query_to_column({f"{key}.{k}": x for k, x in v.items()}, schema))
+            parts.append(query_to_column({f"{key}.{k}": x for k, x in v.items()}, schema, resolve))
         else:
-            parts.append(_compare(key, "$eq", v, dtype))
+            parts.append(_compare(resolve(key), "$eq", v, dtype))
     return reduce(lambda a, b: a & b, parts)
 
 
