@@ -1,6 +1,6 @@
 """Registered queries over the driver's tables (import registers them)."""
 
-from framewell.plans import flagship, q_changes, q_collection, q_frames, q_mutations  # noqa: F401
+from framewell.plans import flagship, q_changes, q_collection, q_frames, q_mutations, q_series  # noqa: F401
 from framewell.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
