@@ -253,12 +253,14 @@ def insert_many(target: DataFrame, docs: DataFrame, key: str | None = None) -> D
 
 
 def merge_by_key(target: DataFrame, batch: DataFrame, key: str = "name",
-                 order: str | Sequence[str] = "event_id", drop: Sequence[str] = ()) -> DataFrame:
+                 order: str | Sequence[str] = "event_id", drop: Sequence[str] = (),
+                 guard: bool = False) -> DataFrame:
     """``update_one({key: k}, {'$set': doc}, upsert=True)`` for a batch.
 
     Last arrival wins inside the batch (W1); batch fields overwrite, fields
     only the target has survive, unknown keys are inserted. One full outer
-    join on the key.
+    join on the key. With ``guard`` a stored row is replaced only by a batch
+    row whose ``order`` is not smaller (replay- and reorder-safe).
     """
     b = keep_last(batch, key, order)
     b = b.drop(*drop)
@@ -267,6 +269,12 @@ def merge_by_key(target: DataFrame, batch: DataFrame, key: str = "name",
     bj = b.select(key, *[F.col(c).alias(f"_b_{c}") for c in b_cols], F.lit(True).alias("_in_b"))
     j = target.join(bj, key, "full_outer")
     hit = F.coalesce(F.col("_in_b"), F.lit(False))
+    if guard:
+        ocols = [order] if isinstance(order, str) else list(order)
+        if all(c in t_cols and c in b_cols for c in ocols):
+            t_o = F.struct(*[F.col(c) for c in ocols])
+            b_o = F.struct(*[F.col(f"_b_{c}") for c in ocols])
+            hit = hit & (F.col(ocols[0]).isNull() | (b_o >= t_o))
     cols = [F.col(key)]
     for c in t_cols:
         cols.append(F.when(hit, F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c) if c in b_cols else F.col(c))
