@@ -8,18 +8,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewell.functions.timefmt import as_ntz, epoch_to_timestamp
-from framewell.operators.parse import split_rejects, validate_frames
+from framewell.operators.parse import derive_metadata, split_rejects, validate_frames
 from framewell.plans import fixtures as fx
 from framewell.plans.registry import query
-from framewell.plans.sqlparts import META, with_
+from framewell.plans.sqlparts import BLOBS, CHANGES, META, with_
 from framewell.session import scratch_path
 from framewell.sinks.tables import read_keyed_table
+from framewell.sources.tables import read_changes
 from framewell.sources.topics import read_topic_files, write_topic_files
+from framewell.streaming.changes import cascade_stream, live_blobs, live_latest_stream, route_changes
+from framewell.streaming.collect import collect_batches
 from framewell.streaming.ingest import archive_stream, ingest_frames
 from framewell.streaming.metrics import fps_stream, read_window_counts
 
 _ONCE = {"availableNow": True}
 
+# Envelope as it sits on the topic: document parts are JSON text.
+ENVELOPE_TEXT = T.StructType([
+    T.StructField("collection", T.StringType()), T.StructField("doc_id", T.StringType()),
+    T.StructField("operation_type", T.StringType()), T.StructField("update_content", T.StringType()),
+    T.StructField("removed_fields", T.ArrayType(T.StringType())),
+    T.StructField("truncated_arrays", T.ArrayType(T.StringType())),
+    T.StructField("before_doc", T.StringType()), T.StructField("full_doc", T.StringType())])
+
 
 @query("stream_upsert", with_(META) + """
 SELECT name, device_id, img_path, event_id AS offset, event_datetime FROM meta
@@ -73,3 +84,77 @@ def q_stream_fps(spark, d):
     q.awaitTermination()
     out = read_window_counts(spark, f"{base}/fps")
     return out.select("device_id", as_ntz("second").alias("second"), "fps")
+
+
+_GOOD = "event_id % 50 NOT IN (0, 2, 3)"
+_SPLIT = "TIMESTAMP '2024-01-16 00:00:00'"
+
+
+@query("stream_live", with_(META) + f""",
+good AS (SELECT * FROM meta WHERE {_GOOD}),
+h1 AS (SELECT * FROM good WHERE event_datetime < {_SPLIT}
+       QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY event_datetime DESC, name DESC) = 1),
+h2 AS (SELECT * FROM good WHERE event_datetime >= {_SPLIT}
+       QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY event_datetime DESC, name DESC) = 1)
+SELECT device_id, event_datetime, name, img_path FROM h1
+UNION ALL
+SELECT h2.device_id, h2.event_datetime, h2.name, h2.img_path FROM h2 LEFT JOIN h1 USING (device_id)
+WHERE h1.img_path IS DISTINCT FROM h2.img_path""")
+def q_stream_live(spark, d):
+    """T-W5: newest frame per device, emitted when it changed; two arrivals
+    (first half of the month, then the rest) through one checkpoint."""
+    base = scratch_path(spark, "stream_live")
+    topic = fx.topic(spark, d)
+    ev = fx.table(spark, d, "events").select(F.col("event_id").alias("offset"), "ts")
+    topic = topic.join(ev, "offset")
+    split = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    ckpt = f"{base}/checkpoint"
+    for part in (topic.filter(F.col("ts") < split), topic.filter(F.col("ts") >= split)):
+        write_topic_files(part.drop("ts"), f"{base}/topic", n_files=2)
+        src = read_topic_files(spark, f"{base}/topic")
+        good, _ = split_rejects(validate_frames(src, keep=["offset"]))
+        frames = derive_metadata(good.drop("img"), with_process_time=False)
+        live_latest_stream(spark, frames, f"{base}/live", checkpoint=ckpt, trigger=_ONCE).awaitTermination()
+    out = spark.read.parquet(f"{base}/live")
+    return out.select("device_id", as_ntz("event_datetime").alias("event_datetime"), "name", "img_path")
+
+
+@query("stream_cascade", with_(CHANGES, BLOBS) + """
+SELECT path, octet_length(content) AS n_bytes FROM blobs
+WHERE path NOT IN (SELECT before_img_path FROM envelope
+                   WHERE collection = 'images' AND operation_type = 'delete'
+                     AND before_img_path IS NOT NULL AND before_img_path <> '')""")
+def q_stream_cascade(spark, d):
+    """T-W7/S4/F3/P5/T12/M13: change records -> envelope topic -> consumer
+    routes deletes -> tombstones -> live blobs."""
+    base = scratch_path(spark, "stream_cascade")
+    fx.changes(spark, d).repartition(4).write.json(f"{base}/changes")
+    raw = read_changes(spark, f"{base}/changes", ["images", "other"])
+    route_changes(spark, raw, f"{base}/topic", trigger=_ONCE,
+                  checkpoint=f"{base}/ck_route").awaitTermination()
+    env = spark.readStream.schema(ENVELOPE_TEXT).json(f"{base}/topic")
+    env = env.withColumn("before_doc", F.from_json("before_doc", "img_path string"))
+    cascade_stream(spark, env, f"{base}/tombstones", trigger=_ONCE,
+                   checkpoint=f"{base}/ck_cascade").awaitTermination()
+    live = live_blobs(spark, fx.blobs(spark, d), f"{base}/tombstones")
+    return live.select("path", F.octet_length("content").alias("n_bytes"))
+
+
+@query("stream_collect", with_(META) + f"""
+SELECT device_id, count(*) // 50 AS n_batches, (count(*) // 50) * 50 AS n_items
+FROM meta WHERE {_GOOD} GROUP BY device_id""")
+def q_stream_collect(spark, d):
+    """T-W1: batches of 50 frames per device from a stateful processor
+    (size-only mode: full batches are flushed, a partial one waits)."""
+    base = scratch_path(spark, "stream_collect")
+    write_topic_files(fx.topic(spark, d), f"{base}/topic", n_files=4)
+    src = read_topic_files(spark, f"{base}/topic", max_files_per_trigger=2)
+    good, _ = split_rejects(validate_frames(src, keep=["offset"]))
+    batches = collect_batches(good, "device_id", ["offset", "name"], 50)
+    q = (batches.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/ck").trigger(**_ONCE).start())
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    per = out.groupBy("device_id", "batch_no").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("device_id").agg(F.count(F.lit(1)).alias("n_batches"),
+                                        F.sum("n").alias("n_items"))

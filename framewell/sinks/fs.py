@@ -28,3 +28,19 @@ def has_partitions(spark: SparkSession, path: str, column: str) -> bool:
     fs, p = _fs(spark, f"{path.rstrip('/')}/{column}=*")
     found = fs.globStatus(p)
     return found is not None and len(found) > 0
+
+
+def latest_version(spark: SparkSession, folder: str, below: int) -> str | None:
+    """Newest ``folder/v=N`` with N < ``below`` (None if there is none)."""
+    fs, p = _fs(spark, f"{folder.rstrip('/')}/v=*")
+    found = fs.globStatus(p) or []
+    best = None
+    for st in found:
+        name = st.getPath().getName()
+        try:
+            n = int(name.split("=", 1)[1])
+        except ValueError:
+            continue
+        if n < below and (best is None or n > best):
+            best = n
+    return None if best is None else f"{folder.rstrip('/')}/v={best}"
