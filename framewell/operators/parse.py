@@ -23,11 +23,18 @@ def parse_messages(df: DataFrame, schema: T.StructType = schemas.FRAME,
     schema (truncated JSON, a quoted number for a numeric field).
     """
     keep = keep if keep is not None else [c for c in df.columns if c != value_col]
-    parsed = decode_json(F.col(value_col), schema, CORRUPT)
-    out = df.select(*keep, F.col(value_col).isNull().alias("_null_msg"), parsed.alias("_m"))
+    out = _parsed(df, keep, value_col, schema)
     return out.select(
-        *keep, *[F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields],
-        (~F.col("_null_msg") & F.col(f"_m.{CORRUPT}").isNull()).alias("parse_ok"))
+        *keep, *[F.col(f.name) for f in schema.fields],
+        (~F.col("_null_msg") & F.col(CORRUPT).isNull()).alias("parse_ok"))
+
+
+def _parsed(df: DataFrame, keep: list[str], value_col: str, schema: T.StructType) -> DataFrame:
+    """Parse once per row. The fields come out of a generator (``inline``),
+    which Catalyst does not push filters through, so a later filter on
+    them cannot re-inline the parse once per referenced field."""
+    parsed = decode_json(F.col(value_col), schema, CORRUPT)
+    return df.select(*keep, F.col(value_col).isNull().alias("_null_msg"), F.inline(F.array(parsed)))
 
 
 def validate_frames(df: DataFrame, value_col: str = "value",
@@ -38,12 +45,11 @@ def validate_frames(df: DataFrame, value_col: str = "value",
     "1.5" is accepted, as ``float(x)`` would). Adds ``valid`` and ``errors``.
     """
     keep = keep if keep is not None else [c for c in df.columns if c != value_col]
-    parsed = decode_json(F.col(value_col), schemas.FRAME_TEXT, CORRUPT)
-    m = df.select(*keep, F.col(value_col).alias("_v"), parsed.alias("_m"))
-    fields = {f.name: F.col(f"_m.{f.name}") for f in schemas.FRAME_TEXT.fields}
+    m = _parsed(df, keep, value_col, schemas.FRAME_TEXT)
+    fields = {f.name: F.col(f.name) for f in schemas.FRAME_TEXT.fields}
     ts = fields["timestamp"].try_cast("double")
-    malformed = F.col("_v").isNull() | (F.col(f"_m.{CORRUPT}").isNotNull()
-                                        & F.coalesce(*fields.values()).isNull())
+    malformed = F.col("_null_msg") | (F.col(CORRUPT).isNotNull()
+                                      & F.coalesce(*fields.values()).isNull())
     checks: list[Column] = [F.when(malformed, F.lit("malformed message"))]
     for name in ("device_id", "name", "width", "height", "img"):
         checks.append(F.when(~malformed & fields[name].isNull(), F.lit(f"{name} is required")))
