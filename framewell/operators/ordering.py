@@ -5,9 +5,11 @@ partitions a window by the key alone:
 
 * keep-last / latest use a keyed ``max_by`` aggregate, which combines
   map-side before the shuffle;
-* sequence numbers and previous values are computed inside (key, time bucket)
-  slices, and the slices are stitched with a small per-slice summary (one row
-  per key and bucket), which is the only thing windowed by key.
+* sequence numbers and previous values are computed inside (key, time slice)
+  windows, and the slices are stitched with a per-slice summary (one row per
+  key and slice), which is the only thing windowed by key. By default the
+  slice width adapts per key (``adaptive_slices``); a fixed slice Column
+  (e.g. ``date_trunc('hour', ts)``) may be passed instead.
 """
 
 from __future__ import annotations
@@ -73,9 +75,35 @@ def default_bucket(df: DataFrame, order: Sequence[str], unit: str = "day") -> Co
     return F.floor(F.col(first) / F.lit(86400.0 if unit == "day" else 3600.0))
 
 
+def adaptive_slices(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``_b``: a time slice per key about sqrt(n_key) rows wide.
+
+    Slice width for a key is span / sqrt(count), from one keyed aggregate
+    (one row per key, joined back; AQE broadcasts it when small and splits
+    a skewed join partition otherwise). A key with n rows then has about
+    sqrt(n) slices of about sqrt(n) rows, so neither the slice windows nor
+    the per-key slice summary hold a hot key in one task.
+    """
+    first = _list(order)[0]
+    dtype = df.schema[first].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        t = F.unix_micros(F.col(first).cast("timestamp")).cast("double")
+    elif isinstance(dtype, T.DateType):
+        t = F.unix_date(F.col(first)).cast("double")
+    else:
+        t = F.col(first).cast("double")
+    d = df.withColumn("_t", t)
+    stats = d.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t0"),
+                                F.max("_t").alias("_t1"))
+    stats = stats.select(*key, "_t0", F.greatest((F.col("_t1") - F.col("_t0")) / F.sqrt("_n"),
+                                                 F.lit(1e-9)).alias("_w"))
+    return (d.join(stats, list(key), "left")
+             .withColumn("_b", F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")))
+             .drop("_t", "_t0", "_w"))
+
+
 def _sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column | None):
-    b = bucket if bucket is not None else default_bucket(df, order)
-    d = df.withColumn("_b", b)
+    d = df.withColumn("_b", bucket) if bucket is not None else adaptive_slices(df, key, order)
     w = Window.partitionBy(*key, "_b").orderBy(*[F.col(c) for c in order])
     return d, w
 

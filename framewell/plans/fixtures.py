@@ -7,6 +7,8 @@ role; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,25 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table; see ``ensure_parallel_scan``."""
+    return ensure_parallel_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def ensure_parallel_scan(df: DataFrame, min_rows_hint: int = 0) -> DataFrame:
+    """Parallelism floor for scans with fewer splits than cores.
+
+    A file with one row group is one scan task, so all per-row work before
+    the first shuffle would run on one core. Only then is the scan spread
+    round-robin over the cores; a large table already has at least as many
+    splits as cores and is returned untouched (no extra shuffle at scale).
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.master.startswith("local") or os.environ.get("FRAMEWELL_SCAN_FLOOR"):
+        n = df.rdd.getNumPartitions()
+        cores = sc.defaultParallelism
+        if n < cores:
+            return df.repartition(cores)
+    return df
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:

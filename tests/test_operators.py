@@ -204,3 +204,19 @@ def test_registry_and_projection(spark):
     assert parse.project_model(df, "UserRead").columns == ["id", "email", "is_active"]
     with pytest.raises(KeyError):
         parse.project_model(df, "Nope")
+
+
+def test_hot_key_is_split_into_small_slices(spark):
+    # one device holds 90% of the rows, all inside one day
+    rnd = random.Random(3)
+    t0 = datetime(2024, 1, 1)
+    rows = [(i, "hot" if rnd.random() < 0.9 else f"d{i % 5}", t0 + timedelta(seconds=rnd.randrange(86400)))
+            for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, device_id string, ts timestamp")
+    sliced = ordering.adaptive_slices(df, ["device_id"], ["ts", "id"])
+    biggest = sliced.groupBy("device_id", "_b").count().agg(F.max("count")).first()[0]
+    assert biggest < 400  # about sqrt(3600) = 60 per slice, far below the 3600 of the key
+    got = ordering.sequence_index(df, "device_id", ["ts", "id"])
+    w = Window.partitionBy("device_id").orderBy("ts", "id")
+    exp = df.withColumn("frame_index", F.row_number().over(w) - 1)
+    assert got.select("id", "frame_index").exceptAll(exp.select("id", "frame_index")).count() == 0
