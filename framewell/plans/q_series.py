@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from framewell.functions.codec import decode_json
 from framewell.functions.timefmt import (DISPLAY_TIME_PATTERN, OBJECT_DATE_PATTERN, OBJECT_TIME_PATTERN,
                                          as_ntz, parse_event_time, parse_request_date, shifted_epoch)
-from framewell.operators import config, infer, series
+from framewell.operators import config, infer, resets, series
 from framewell.plans import fixtures as fx
 from framewell.plans.registry import query
 from framewell.plans.sqlparts import META, POINTS, with_
@@ -152,3 +152,27 @@ def q_infer_scores(spark, d):
     e = fx.table(spark, d, "embeddings")
     out = infer.infer(e, "embedding", ["vec_id", "label"])
     return out.select("vec_id", "label", F.round("score", 6).alias("score"))
+
+
+@query("fps_resets", with_(META) + """,
+m AS (SELECT device_id, event_datetime,
+             row_number() OVER (PARTITION BY device_id ORDER BY event_datetime, name) AS rn FROM meta),
+lim AS (SELECT device_id, rn, event_datetime + INTERVAL 1 SECOND AS lim FROM m),
+nxt AS (SELECT l.device_id, l.rn, n.rn AS next_rn
+        FROM lim l ASOF LEFT JOIN m n ON l.device_id = n.device_id AND l.lim < n.event_datetime),
+chain AS (SELECT * FROM (WITH RECURSIVE c(device_id, rn, next_rn) AS (
+            SELECT device_id, rn, next_rn FROM nxt WHERE rn = 1
+            UNION ALL
+            SELECT x.device_id, x.rn, x.next_rn FROM c JOIN nxt x ON x.device_id = c.device_id AND x.rn = c.next_rn)
+          SELECT * FROM c)),
+r AS (SELECT device_id, rn, lag(rn) OVER (PARTITION BY device_id ORDER BY rn) AS prev_rn FROM chain)
+SELECT r.device_id, m.event_datetime AS reset_time,
+       CASE WHEN r.prev_rn = 1 THEN r.rn ELSE r.rn - r.prev_rn END AS fps
+FROM r JOIN m ON m.device_id = r.device_id AND m.rn = r.rn
+WHERE r.prev_rn IS NOT NULL""")
+def q_fps_resets(spark, d):
+    """T-W2 exact: a window closes at the first frame more than 1 s after the
+    last reset; resolved per time slice, never per whole device."""
+    m = fx.frame_metadata(spark, d).select("device_id", "name", "event_datetime")
+    out = resets.fps_resets(m, "event_datetime", "device_id", "name", 1.0)
+    return out.select("device_id", as_ntz("reset_time").alias("reset_time"), "fps")

@@ -220,3 +220,23 @@ def test_hot_key_is_split_into_small_slices(spark):
     w = Window.partitionBy("device_id").orderBy("ts", "id")
     exp = df.withColumn("frame_index", F.row_number().over(w) - 1)
     assert got.select("id", "frame_index").exceptAll(exp.select("id", "frame_index")).count() == 0
+
+
+def test_fps_resets_match_sequential_loop(spark):
+    from framewell.operators.resets import fps_resets, fps_resets_local
+    rnd = random.Random(11)
+    t0 = datetime(2024, 1, 1)
+    rows = []
+    for dev, n, rate in (("hot", 3000, 25), ("b", 300, 4), ("c", 2, 1)):
+        t = 0.0
+        for i in range(n):
+            t += rnd.expovariate(rate) if rnd.random() > 0.01 else rnd.uniform(1, 3)
+            rows.append((dev, f"{dev}{i}", t0 + timedelta(microseconds=int(t * 1e6))))
+    df = spark.createDataFrame(rows, "device_id string, name string, event_datetime timestamp")
+    got = sorted((r.device_id, r.reset_time, r.fps) for r in fps_resets(df).collect())
+    exp = []
+    for dev in ("hot", "b", "c"):
+        ts = sorted(r[2] for r in rows if r[0] == dev)
+        secs = [(x - datetime(1970, 1, 1)).total_seconds() for x in ts]
+        exp += [(dev, ts[i], c) for i, c in fps_resets_local(secs)]
+    assert got == sorted(exp)
