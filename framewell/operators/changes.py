@@ -81,12 +81,16 @@ def cascade_delete(blobs: DataFrame, env: DataFrame, collection: str = "images",
 
 
 def orphan_blobs(blobs: DataFrame, images: DataFrame, path_col: str = "img_path") -> DataFrame:
-    """Blobs that no metadata document references (left anti)."""
-    refs = images.select(F.col(path_col).alias("path")).filter(F.col("path").isNotNull())
+    """Blobs that no metadata document references (left anti).
+
+    The referenced paths are de-duplicated first (partial aggregation), so a
+    path shared by many documents costs one row in the join.
+    """
+    refs = images.select(F.col(path_col).alias("path")).filter(F.col("path").isNotNull()).distinct()
     return blobs.join(refs, "path", "left_anti")
 
 
 def referenced_blobs(blobs: DataFrame, images: DataFrame, path_col: str = "img_path") -> DataFrame:
     """J3 complement: blobs some document references (left semi)."""
-    refs = images.select(F.col(path_col).alias("path"))
+    refs = images.select(F.col(path_col).alias("path")).distinct()
     return blobs.join(refs, "path", "left_semi")

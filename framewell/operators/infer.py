@@ -66,3 +66,12 @@ def score_linear(vector: Column | str, weights: list[float], bias: float = 0.0)
     w = F.array(*[F.lit(float(x)) for x in weights])
     dot = F.aggregate(F.zip_with(v, w, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda acc, x: acc + x)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-(dot + F.lit(bias))))
+
+
+def infer_to_table(df: DataFrame, vector_col: str, keep: list[str], key: str, table_path: str,
+                   order: str, model_factory: Callable[[], Callable] = LinearScorer,
+                   batch_id: int | None = None) -> None:
+    """K9: scores written to a keyed results table (K1), one row per key."""
+    from framewell.sinks.tables import upsert_table
+    scored = infer(df, vector_col, list(dict.fromkeys([*keep, key, order])), model_factory)
+    upsert_table(df.sparkSession, scored, table_path, key, order, batch_id=batch_id)

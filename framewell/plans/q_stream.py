@@ -42,7 +42,7 @@ def q_stream_upsert(spark, d):
     write_topic_files(fx.topic(spark, d), f"{base}/topic", n_files=4)
     src = read_topic_files(spark, f"{base}/topic", max_files_per_trigger=2)
     q = ingest_frames(spark, src, f"{base}/images", f"{base}/blobs", f"{base}/rejects",
-                      trigger=_ONCE, n_buckets=16)
+                      trigger=_ONCE, n_buckets=16, metrics_path=f"{base}/metrics")
     q.awaitTermination()
     t = read_keyed_table(spark, f"{base}/images")
     return t.select("name", "device_id", "img_path", "offset", as_ntz("event_datetime").alias("event_datetime"))

@@ -32,7 +32,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FRAMEWELL_DRIVER_MEMORY", "16g"))
         .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # = ROCKSDB_PROVIDER
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -69,3 +69,15 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, unique folder under the work folder (never reused)."""
     return f"{work_dir(spark)}/{kind}/{uuid.uuid4().hex}"
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb_state_store(spark: SparkSession) -> None:
+    """Stateful processors with several state variables need the RocksDB
+    state store; select it for the session when another one is set. Applies
+    to queries started afterwards (a checkpoint keeps its provider)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)

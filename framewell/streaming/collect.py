@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
 
+from framewell.session import ensure_rocksdb_state_store
+
 
 class _CollectProcessor(StatefulProcessor):
     def __init__(self, key: str, item_schema: T.StructType, max_size: int, timeout_ms: int | None):
@@ -86,6 +88,7 @@ def collect_batches(stream: DataFrame, key: str, items: list[str], max_size: int
     (processing-time timers fire between such triggers); without one, only
     full batches are emitted and a partial batch waits for more items.
     """
+    ensure_rocksdb_state_store(stream.sparkSession)
     item_schema = T.StructType([stream.schema[c] for c in items])
     out_schema = T.StructType([stream.schema[key], *item_schema.fields,
                                T.StructField("batch_no", T.LongType()),

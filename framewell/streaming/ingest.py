@@ -7,7 +7,9 @@ blobs first, then the keyed metadata merge, then the rejects.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +22,10 @@ from framewell.sinks.blobs import write_blobs
 from framewell.sinks.tables import upsert_table
 
 
+METRICS_SCHEMA = ("batch_id long, n_rows long, n_good long, n_rejects long, "
+                  "elapsed_s double, latency_per_row double")
+
+
 def _start(writer, spark: SparkSession, checkpoint: str | None, trigger: dict | None, kind: str):
     writer = writer.option("checkpointLocation", checkpoint or scratch_path(spark, f"checkpoints/{kind}"))
     if trigger:
@@ -34,12 +40,20 @@ def poll_trigger(seconds: float = 0.1) -> dict:
 
 def ingest_frames(spark: SparkSession, source: DataFrame, table_path: str, blob_root: str,
                   rejects_path: str, checkpoint: str | None = None, trigger: dict | None = None,
-                  n_buckets: int = 64):
-    """T-W3: topic (offset, value) -> validate -> blobs + keyed metadata + rejects."""
+                  n_buckets: int = 64, metrics_path: str | None = None):
+    """T-W3: topic (offset, value) -> validate -> blobs + keyed metadata + rejects.
+
+    With ``metrics_path`` each batch appends one row (A7/A8): rows, good,
+    rejects, elapsed seconds and elapsed per row. Counts come from an
+    ``Observation`` on the validated batch, so they cost no extra job.
+    """
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # F10
             return
-        v = validate_frames(batch, keep=["offset"]).persist()
+        started = time.perf_counter()
+        obs = Observation(f"ingest_{batch_id}")
+        v = validate_frames(batch, keep=["offset"]).observe(
+            obs, F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("valid")).alias("n_good")).persist()
         try:
             good, rejects = split_rejects(v)
             write_blobs(good, blob_root, batch_id)                           # K2 first
@@ -48,6 +62,14 @@ def ingest_frames(spark: SparkSession, source: DataFrame, table_path: str, blob_
             rejects.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/_batch={batch_id}")
         finally:
             v.unpersist()
+        if metrics_path:
+            m = obs.get
+            elapsed = time.perf_counter() - started
+            n = int(m.get("n_rows", 0))
+            row = [(batch_id, n, int(m.get("n_good", 0)), n - int(m.get("n_good", 0)), elapsed,
+                    elapsed / n if n else None)]
+            spark.createDataFrame(row, METRICS_SCHEMA).write.mode("overwrite").parquet(
+                f"{metrics_path.rstrip('/')}/_batch={batch_id}")
     return _start(source.writeStream.foreachBatch(process), spark, checkpoint, trigger, "ingest")
 
 

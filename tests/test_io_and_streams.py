@@ -124,3 +124,21 @@ def test_drop_expired_stream(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert [r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
+
+
+def test_ingest_metrics_and_inference_sink(spark):
+    from framewell.operators.infer import infer_to_table
+    from framewell.plans import QUERIES
+    from framewell.sinks.tables import read_keyed_table
+    QUERIES["stream_upsert"](spark, "/root/testdata/sf0.001").count()
+    base = scratch_path(spark, "stream_upsert")
+    parent = base.rsplit("/", 1)[0]
+    import glob
+    metrics = [p for p in glob.glob(parent + "/*/metrics")]
+    assert metrics
+    m = spark.read.parquet(metrics[-1]).agg(F.sum("n_rows"), F.sum("n_good")).first()
+    assert m[0] == 1000 and m[1] == 1000 - 60
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").withColumn("seq", F.lit(1))
+    path = scratch_path(spark, "infer") + "/t"
+    infer_to_table(emb, "embedding", ["label"], "vec_id", path, "seq", batch_id=0)
+    assert read_keyed_table(spark, path).count() == emb.count()
