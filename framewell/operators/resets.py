@@ -19,7 +19,6 @@ resolved in three distributed steps without putting a device in one task:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
