@@ -75,14 +75,19 @@ def default_bucket(df: DataFrame, order: Sequence[str], unit: str = "day") -> Co
     return F.floor(F.col(first) / F.lit(86400.0 if unit == "day" else 3600.0))
 
 
-def adaptive_slices(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add ``_b``: a time slice per key about sqrt(n_key) rows wide.
-
-    Slice width for a key is span / sqrt(count), from one keyed aggregate
-    (one row per key, joined back; AQE broadcasts it when small and splits
-    a skewed join partition otherwise). A key with n rows then has about
-    sqrt(n) slices of about sqrt(n) rows, so neither the slice windows nor
-    the per-key slice summary hold a hot key in one task.
+MIN_SLICE_ROWS = 100_000
+
+
+def adaptive_slices(df: DataFrame, key: Sequence[str], order: Sequence[str],
+                    min_rows: int = MIN_SLICE_ROWS) -> DataFrame:
+    """Add ``_b``: a time slice per key.
+
+    A key with n rows gets min(sqrt(n), n / min_rows) slices (at least one),
+    from one keyed aggregate (one row per key, joined back; AQE broadcasts it
+    when small and splits a skewed join partition otherwise). A small key
+    stays whole; a hot key gets about sqrt(n) slices of about sqrt(n) rows,
+    so neither the slice windows nor the per-key slice summary hold it in
+    one task.
     """
     first = _list(order)[0]
     dtype = df.schema[first].dataType
@@ -95,67 +100,79 @@ def adaptive_slices(df: DataFrame, key: Sequence[str], order: Sequence[str]) ->
     d = df.withColumn("_t", t)
     stats = d.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t0"),
                                 F.max("_t").alias("_t1"))
-    stats = stats.select(*key, "_t0", F.greatest((F.col("_t1") - F.col("_t0")) / F.sqrt("_n"),
+    n_slices = F.greatest(F.lit(1.0), F.least(F.sqrt("_n"), F.col("_n") / F.lit(float(min_rows))))
+    # the +1e-9 keeps the newest row inside the last slice
+    stats = stats.select(*key, "_t0", F.greatest((F.col("_t1") - F.col("_t0")) * F.lit(1 + 1e-9) / n_slices,
                                                  F.lit(1e-9)).alias("_w"))
-    return (d.join(stats, list(key), "left")
-             .withColumn("_b", F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")))
-             .drop("_t", "_t0", "_w"))
+    # non-null slice id: a null time or key lands in slice 0, and no
+    # null-rejecting filter is inferred on it (keeps both uses of the sliced
+    # frame identical, so their shuffle is shared)
+    b = F.coalesce(F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")), F.lit(0)).cast("long")
+    return d.join(stats, list(key), "left").withColumn("_b", b).drop("_t", "_t0", "_w")
 
 
-def _sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column | None):
-    d = df.withColumn("_b", bucket) if bucket is not None else adaptive_slices(df, key, order)
+def _sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column | None,
+            min_rows: int = MIN_SLICE_ROWS):
+    d = df.withColumn("_b", bucket) if bucket is not None else adaptive_slices(df, key, order, min_rows)
     w = Window.partitionBy(*key, "_b").orderBy(*[F.col(c) for c in order])
     return d, w
 
 
 def sequence_index(df: DataFrame, key: str | Sequence[str] = "device_id",
                    order: str | Sequence[str] = ("event_datetime", "name"),
-                   bucket: Column | None = None, out: str = "frame_index") -> DataFrame:
+                   bucket: Column | None = None, out: str = "frame_index",
+                   min_rows: int = MIN_SLICE_ROWS) -> DataFrame:
     """0-based position of each row in its key's ordered sequence.
 
     Row numbers inside (key, bucket) plus the running count of earlier
     buckets of the same key; ``order`` must be unique within a key.
     """
     keys, order = _list(key), _list(order)
-    d, w = _sliced(df, keys, order, bucket)
-    d = d.withColumn("_local", F.row_number().over(w) - 1)
-    counts = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    d, w = _sliced(df, keys, order, bucket, min_rows)
+    whole = Window.partitionBy(*keys, "_b")
+    d = d.withColumn("_local", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(whole))
+    # slice sizes from the same window pass: the big side is shuffled once
+    counts = d.select(*keys, "_b", "_n").distinct()
     wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_off"))
     return (d.join(offsets, [*keys, "_b"])
              .withColumn(out, F.col("_local") + F.col("_off"))
-             .drop("_b", "_local", "_off"))
+             .drop("_b", "_local", "_off", "_n"))
 
 
 def previous_value(df: DataFrame, value: str, key: str | Sequence[str] = "device_id",
                    order: str | Sequence[str] = ("event_datetime", "name"),
-                   bucket: Column | None = None, out: str = "prev_value") -> DataFrame:
+                   bucket: Column | None = None, out: str = "prev_value",
+                   min_rows: int = MIN_SLICE_ROWS) -> DataFrame:
     """Value of the previous row of the same key (null for the first row)."""
     keys, order = _list(key), _list(order)
-    d, w = _sliced(df, keys, order, bucket)
-    d = d.withColumn("_first", F.row_number().over(w) == 1).withColumn(
-        "_lag", F.lag(value).over(w))
-    last = d.groupBy(*keys, "_b").agg(F.max_by(F.col(value), _order_key(order)).alias("_last"))
+    d, w = _sliced(df, keys, order, bucket, min_rows)
+    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = (d.withColumn("_first", F.row_number().over(w) == 1)
+          .withColumn("_lag", F.lag(value).over(w))
+          .withColumn("_slice_last", F.last(value).over(full)))
+    # the last value of each slice from the same window pass (shared shuffle)
+    last = d.select(*keys, "_b", F.col("_slice_last").alias("_last")).distinct()
     wk = Window.partitionBy(*keys).orderBy("_b")
     carry = last.select(*keys, "_b", F.lag("_last").over(wk).alias("_carry"))
     return (d.join(carry, [*keys, "_b"])
              .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
-             .drop("_b", "_first", "_lag", "_carry"))
+             .drop("_b", "_first", "_lag", "_carry", "_slice_last"))
 
 
 def emit_on_change(df: DataFrame, value: str = "img_path", key: str | Sequence[str] = "device_id",
                    order: str | Sequence[str] = ("event_datetime", "name"),
-                   bucket: Column | None = None) -> DataFrame:
+                   bucket: Column | None = None, min_rows: int = MIN_SLICE_ROWS) -> DataFrame:
     """Keep rows whose value differs from the previous row of the key."""
-    prev = previous_value(df, value, key, order, bucket, out="_prev")
+    prev = previous_value(df, value, key, order, bucket, out="_prev", min_rows=min_rows)
     return prev.filter(~F.col(value).eqNullSafe(F.col("_prev"))).drop("_prev")
 
 
 def count_batches(df: DataFrame, max_size: int, key: str | Sequence[str] = "device_id",
                   order: str | Sequence[str] = ("event_datetime", "name"),
-                  bucket: Column | None = None) -> DataFrame:
+                  bucket: Column | None = None, min_rows: int = MIN_SLICE_ROWS) -> DataFrame:
     """Number rows into consecutive batches of at most ``max_size`` per key."""
-    idx = sequence_index(df, key, order, bucket, out="_i")
+    idx = sequence_index(df, key, order, bucket, out="_i", min_rows=min_rows)
     return idx.withColumn("batch_no", F.floor(F.col("_i") / F.lit(max_size))).drop("_i")
 
 

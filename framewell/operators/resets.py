@@ -49,7 +49,7 @@ def _candidates(t: np.ndarray, period: float) -> list[int]:
 
 
 def fps_resets(df: DataFrame, time_col: str = "event_datetime", key: str = "device_id",
-               tie: str = "name", period: float = 1.0) -> DataFrame:
+               tie: str = "name", period: float = 1.0, min_rows: int = 50_000) -> DataFrame:
     """T-W2 exact: one row per window close (key, reset_time, fps).
 
     Eager in one place: the sliced frames are checkpointed (reliable
@@ -58,8 +58,8 @@ def fps_resets(df: DataFrame, time_col: str = "event_datetime", key: str = "devi
     work_dir(df.sparkSession)
     secs = F.unix_micros(F.col(time_col).cast("timestamp")).cast("double") / F.lit(1e6)
     base = df.select(key, tie, F.col(time_col).alias("_time"), secs.alias("_secs"))
-    idx = sequence_index(base, key, ["_time", tie], out="_i")
-    sliced = adaptive_slices(idx, [key], ["_time", tie]).select(key, "_b", "_i", "_secs").checkpoint()
+    idx = sequence_index(base, key, ["_time", tie], out="_i", min_rows=min_rows)
+    sliced = adaptive_slices(idx, [key], ["_time", tie], min_rows).select(key, "_b", "_i", "_secs").checkpoint()
     kt = sliced.schema[key].dataType.simpleString()
 
     def summarize(pdf: pd.DataFrame) -> pd.DataFrame:

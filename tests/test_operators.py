@@ -49,6 +49,8 @@ def _random_frames(spark, n=3000, devices=4, seed=7):
 def test_sliced_sequence_matches_global_window(spark):
     df = _random_frames(spark)
     got = ordering.sequence_index(df, "device_id", ["ts", "id"], bucket=F.date_trunc("hour", "ts"))
+    adaptive = ordering.sequence_index(df, "device_id", ["ts", "id"], min_rows=1)
+    assert adaptive.select("id", "frame_index").exceptAll(got.select("id", "frame_index")).count() == 0
     w = Window.partitionBy("device_id").orderBy("ts", "id")
     exp = df.withColumn("frame_index", F.row_number().over(w) - 1)
     assert got.select("id", "frame_index").exceptAll(exp.select("id", "frame_index")).count() == 0
@@ -61,7 +63,9 @@ def test_sliced_previous_value_matches_lag(spark):
     w = Window.partitionBy("device_id").orderBy("ts", "id")
     exp = df.withColumn("prev_value", F.lag("img_path").over(w))
     assert got.select("id", "prev_value").exceptAll(exp.select("id", "prev_value")).count() == 0
-    changed = ordering.emit_on_change(df, "img_path", "device_id", ["ts", "id"])
+    adaptive = ordering.previous_value(df, "img_path", "device_id", ["ts", "id"], min_rows=1)
+    assert adaptive.select("id", "prev_value").exceptAll(exp.select("id", "prev_value")).count() == 0
+    changed = ordering.emit_on_change(df, "img_path", "device_id", ["ts", "id"], min_rows=1)
     assert changed.count() == exp.filter(~F.col("img_path").eqNullSafe(F.col("prev_value"))).count()
 
 
@@ -213,10 +217,12 @@ def test_hot_key_is_split_into_small_slices(spark):
     rows = [(i, "hot" if rnd.random() < 0.9 else f"d{i % 5}", t0 + timedelta(seconds=rnd.randrange(86400)))
             for i in range(4000)]
     df = spark.createDataFrame(rows, "id long, device_id string, ts timestamp")
-    sliced = ordering.adaptive_slices(df, ["device_id"], ["ts", "id"])
+    sliced = ordering.adaptive_slices(df, ["device_id"], ["ts", "id"], min_rows=1)
     biggest = sliced.groupBy("device_id", "_b").count().agg(F.max("count")).first()[0]
     assert biggest < 400  # about sqrt(3600) = 60 per slice, far below the 3600 of the key
-    got = ordering.sequence_index(df, "device_id", ["ts", "id"])
+    whole = ordering.adaptive_slices(df, ["device_id"], ["ts", "id"])
+    assert whole.groupBy("device_id").agg(F.countDistinct("_b").alias("k")).agg(F.max("k")).first()[0] == 1
+    got = ordering.sequence_index(df, "device_id", ["ts", "id"], min_rows=1)
     w = Window.partitionBy("device_id").orderBy("ts", "id")
     exp = df.withColumn("frame_index", F.row_number().over(w) - 1)
     assert got.select("id", "frame_index").exceptAll(exp.select("id", "frame_index")).count() == 0
@@ -233,10 +239,11 @@ def test_fps_resets_match_sequential_loop(spark):
             t += rnd.expovariate(rate) if rnd.random() > 0.01 else rnd.uniform(1, 3)
             rows.append((dev, f"{dev}{i}", t0 + timedelta(microseconds=int(t * 1e6))))
     df = spark.createDataFrame(rows, "device_id string, name string, event_datetime timestamp")
-    got = sorted((r.device_id, r.reset_time, r.fps) for r in fps_resets(df).collect())
+    got = sorted((r.device_id, r.reset_time, r.fps) for r in fps_resets(df, min_rows=1).collect())
+    whole = sorted((r.device_id, r.reset_time, r.fps) for r in fps_resets(df).collect())
     exp = []
     for dev in ("hot", "b", "c"):
         ts = sorted(r[2] for r in rows if r[0] == dev)
         secs = [(x - datetime(1970, 1, 1)).total_seconds() for x in ts]
         exp += [(dev, ts[i], c) for i, c in fps_resets_local(secs)]
-    assert got == sorted(exp)
+    assert got == sorted(exp) and whole == sorted(exp)
