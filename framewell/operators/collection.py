@@ -69,7 +69,7 @@ def distinct_values(df: DataFrame, fields: Sequence[str], query: dict | None = N
 
     One scan: each row emits one struct per field, then a distributed
     distinct (partial aggregation map-side). The filter is not coerced, as
-    in the reference's tag query. Null values are treated as missing.
+    in a tag query of the list page. Null values are treated as missing.
     """
     src = df.filter(query_to_column(query, df.schema)) if query else df
     items = [F.struct(F.lit(f).alias("field"), py_str(F.col(f), df.schema[f].dataType).alias("value"),
@@ -145,8 +145,8 @@ def aggregate(df: DataFrame, stages: Sequence[dict]) -> DataFrame:
 
     Stages: $match, $group, $project, $addFields, $sort, $skip, $limit,
     $unwind, $count. Group ids: '$field' -> column ``_id`` (as text, as the
-    reference stringifies it); a document of fields -> one column per field.
-    No type coercion (as in the reference).
+    the service stringifies it); a document of fields -> one column per field.
+    No type coercion of the stages.
     """
     out = df
     sort_keys: list[tuple[str, bool]] = []

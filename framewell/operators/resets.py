@@ -119,7 +119,8 @@ def fps_resets(df: DataFrame, time_col: str = "event_datetime", key: str = "devi
 
 
 def fps_resets_local(times: list[float], period: float = 1.0) -> list[tuple[int, int]]:
-    """Reference loop on one device's sorted times: (reset position, fps)."""
+    """The plain sequential loop on one device's sorted times (for checks):
+    (reset position, fps)."""
     out, prev, count = [], times[0] if times else 0.0, 0
     for i, ts in enumerate(times):
         count += 1

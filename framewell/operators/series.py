@@ -25,8 +25,8 @@ def group_series(points: DataFrame, key: str = "io_id", time_col: str = "time",
                  value_col: str = "value") -> DataFrame:
     """A4: per series the count, time span, first/last value and totals.
 
-    The reference splits a batch by io_id and ships each series' lists; the
-    lists themselves are written by ``sinks.tables.write_points`` (one
+    A batch split by io_id ships each series' lists to the time-series store;
+    the lists themselves are written by ``sinks.tables.write_points`` (one
     partitioned pass), so here only bounded summaries are computed.
     """
     v, t = F.col(value_col), F.col(time_col)

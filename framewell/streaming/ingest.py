@@ -91,9 +91,9 @@ def archive_stream(spark: SparkSession, source: DataFrame, model: T.StructType,
                    trigger: dict | None = None, dedup_key: str | None = None):
     """K3: valid messages to Parquet under category=/dt=YYYY_MM_DD/.
 
-    The date comes from the event time (the reference used processing time;
-    event time makes reruns land in the same folders). With ``dedup_key``
-    each micro-batch keeps the last arrival per key (W1).
+    The date folder comes from the event time, so a rerun lands in the same
+    folders (processing time would not). With ``dedup_key`` each
+    micro-batch keeps the last arrival per key (W1).
     """
     parsed = parse_archive_messages(source, model)
     good = parsed.filter("valid").drop("valid").withColumn(
