@@ -29,33 +29,45 @@ def bucket_of(key: str, n_buckets: int):
 
 def upsert_table(spark: SparkSession, batch: DataFrame, table_path: str, key: str = "name",
                  order: str | Sequence[str] = "offset", n_buckets: int = 64,
-                 batch_id: int | None = None) -> None:
+                 batch_id: int | None = None, partition_by: Sequence[str] | None = None) -> None:
     """K1: merge a batch into the keyed table at ``table_path``.
 
     Last arrival wins within the batch; across batches a row is replaced
     only by one with an equal or later ``order`` value, so replays and
     out-of-order files give the same table.
+
+    Layout: hash buckets of the key (``_bucket``), or ``partition_by``
+    columns that the key determines (for frames: device and capture hour,
+    both part of the frame name). A batch rewrites only the partitions it
+    touches, so with time-determined partitions it rewrites recent data
+    only, however large the table is.
     """
     table_path = table_path.rstrip("/")
+    parts = list(partition_by) if partition_by else ["_bucket"]
     marker = f"{table_path}/_commits/{batch_id}" if batch_id is not None else None
     if marker and path_exists(spark, marker):
         return
     tag = hashlib.sha1(table_path.encode()).hexdigest()[:16]
     stage = f"{work_dir(spark)}/upsert_stage/{tag}/{batch_id if batch_id is not None else 'adhoc'}"
     if batch_id is None or not path_exists(spark, f"{stage}/_SUCCESS"):
-        b = batch.withColumn("_bucket", bucket_of(key, n_buckets))
-        touched = [r[0] for r in b.select("_bucket").distinct().collect()]  # at most n_buckets ints
+        b = batch if partition_by else batch.withColumn("_bucket", bucket_of(key, n_buckets))
+        # the partition values one micro-batch touches (bounded by its size)
+        touched = [tuple(r) for r in b.select(*parts).distinct().collect()]
         if not touched:
             return
-        if has_partitions(spark, table_path, "_bucket"):
-            target = spark.read.parquet(table_path).filter(F.col("_bucket").isin(touched))
-            merged = merge_by_key(target, b, key, order, guard=True)
+        if has_partitions(spark, table_path, parts[0]):
+            target = spark.read.parquet(table_path)
+            for c in parts:  # partition values come back with inferred types
+                target = target.withColumn(c, F.col(c).cast(b.schema[c].dataType))
+            hit = F.struct(*[F.col(c).cast("string") for c in parts]).isin(
+                [F.struct(*[F.lit(None if v is None else str(v)) for v in t]) for t in touched])
+            merged = merge_by_key(target.filter(hit), b, key, order, guard=True)
         else:
             merged = keep_last(b, key, order)
-        merged.write.mode("overwrite").partitionBy("_bucket").parquet(stage)
+        merged.write.mode("overwrite").partitionBy(*parts).parquet(stage)
     staged = spark.read.parquet(stage)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("_bucket").parquet(table_path))
+           .partitionBy(*parts).parquet(table_path))
     if marker:
         write_marker(spark, marker)
 

@@ -142,3 +142,21 @@ def test_ingest_metrics_and_inference_sink(spark):
     path = scratch_path(spark, "infer") + "/t"
     infer_to_table(emb, "embedding", ["label"], "vec_id", path, "seq", batch_id=0)
     assert read_keyed_table(spark, path).count() == emb.count()
+
+
+def test_upsert_table_time_partitions_rewrite_only_touched(spark):
+    import os
+    path = scratch_path(spark, "test_upsert_parts") + "/t"
+    day1 = spark.createDataFrame([("camA_0101.jpg", 1, "camA", "2024010100", "a"),
+                                  ("camB_0101.jpg", 2, "camB", "2024010100", "b")],
+                                 "name string, offset long, device_id string, hour string, v string")
+    upsert_table(spark, day1, path, "name", "offset", batch_id=0, partition_by=["device_id", "hour"])
+    untouched = os.path.join(path.replace("file:", ""), "device_id=camB", "hour=2024010100")
+    before = sorted(os.listdir(untouched))
+    day2 = spark.createDataFrame([("camA_0101.jpg", 5, "camA", "2024010100", "a2"),
+                                  ("camA_0102.jpg", 6, "camA", "2024010200", "c")],
+                                 "name string, offset long, device_id string, hour string, v string")
+    upsert_table(spark, day2, path, "name", "offset", batch_id=1, partition_by=["device_id", "hour"])
+    assert sorted(os.listdir(untouched)) == before            # camB partition not rewritten
+    got = {r.name: r.v for r in read_keyed_table(spark, path).collect()}
+    assert got == {"camA_0101.jpg": "a2", "camB_0101.jpg": "b", "camA_0102.jpg": "c"}
