@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewell import schemas
-from framewell.functions.codec import b64decode, decode_json, is_base64
+from framewell.functions.codec import b64decode, decode_json, is_base64, py_str
 from framewell.functions.paths import img_path
 from framewell.functions.timefmt import epoch_to_timestamp, now_utc
 
@@ -111,5 +111,5 @@ def rename_with_alias(df: DataFrame, key: str = "id", alias: str = "_id",
     """Expose the key under its alias; render non-JSON types as text."""
     out = df.withColumnRenamed(key, alias) if key in df.columns and key != alias else df
     for c in stringify:
-        out = out.withColumn(c, F.col(c).cast("string"))
+        out = out.withColumn(c, py_str(F.col(c), out.schema[c].dataType))
     return out

@@ -10,6 +10,7 @@ from framewell.operators import changes as ch
 from framewell.plans import fixtures as fx
 from framewell.plans.registry import query
 from framewell.plans.sqlparts import BLOBS, CHANGES, FRAMES, IMAGES, with_
+from framewell.sinks.topics import to_topic_value
 
 
 def _envelope(spark, d):
@@ -102,3 +103,15 @@ def q_decode_blob(spark, d):
     return f.select(F.concat("device_id", F.lit("/"), "name").alias("img_path"),
                     F.octet_length(content).alias("n_bytes"),
                     F.decode(content, "UTF-8").alias("text"), "event_id")
+
+
+@query("change_topic", with_(CHANGES) + """
+SELECT doc_id AS key,
+       '{"collection":"' || collection || '","doc_id":"' || doc_id || '","operation_type":"' || operation_type
+       || '","before_img_path":' || coalesce('"' || before_img_path || '"', 'null') || '}' AS value
+FROM envelope WHERE collection IN ('images', 'other') AND operation_type IN ('insert', 'update', 'delete', 'replace')""")
+def q_change_topic(spark, d):
+    """K4: envelope rows as (key, JSON value) ready for the topic writer."""
+    e = _envelope(spark, d).select("collection", "doc_id", "operation_type",
+                                   F.col("before_doc.img_path").alias("before_img_path"))
+    return to_topic_value(e, key="doc_id")

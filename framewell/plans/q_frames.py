@@ -112,3 +112,18 @@ def q_count_batches(spark, d):
     return b.groupBy("device_id", "batch_no").agg(
         F.count(F.lit(1)).alias("n_frames"), F.min("event_id").alias("first_event_id"),
         F.max("event_id").alias("last_event_id"))
+
+
+@query("stored_view", with_(META) + """
+SELECT CAST(event_id AS VARCHAR) AS _id, device_id, name, img_path,
+       CASE WHEN date_part('microseconds', event_datetime) % 1000000 = 0
+            THEN strftime(event_datetime, '%Y-%m-%d %H:%M:%S')
+            ELSE strftime(event_datetime, '%Y-%m-%d %H:%M:%S.%f') END AS event_datetime
+FROM meta""")
+def q_stored_view(spark, d):
+    """Payload columns dropped (missing ones ignored), key exposed as
+    ``_id``, non-JSON types rendered as text."""
+    m = parse.derive_metadata(fx.frames(spark, d), with_process_time=False)
+    m = parse.drop_columns(m, "img", "start_time", "timestamp", "width", "height")
+    out = parse.rename_with_alias(m, "event_id", "_id", stringify=("_id", "event_datetime"))
+    return out.select("_id", "device_id", "name", "img_path", "event_datetime")
