@@ -32,12 +32,14 @@ def ensure_parallel_scan(df: DataFrame, min_rows_hint: int = 0) -> DataFrame:
     round-robin over the cores; a large table already has at least as many
     splits as cores and is returned untouched (no extra shuffle at scale).
     """
-    sc = df.sparkSession.sparkContext
-    if sc.master.startswith("local") or os.environ.get("FRAMEWELL_SCAN_FLOOR"):
-        n = df.rdd.getNumPartitions()
-        cores = sc.defaultParallelism
-        if n < cores:
-            return df.repartition(cores)
+    try:
+        sc = df.sparkSession.sparkContext
+        if sc.master.startswith("local") or os.environ.get("FRAMEWELL_SCAN_FLOOR"):
+            cores = sc.defaultParallelism
+            if df.rdd.getNumPartitions() < cores:
+                return df.repartition(cores)
+    except Exception:  # noqa: BLE001 - e.g. a remote session: keep the plain scan
+        pass
     return df
 
 

@@ -73,6 +73,21 @@ def ingest_frames(spark: SparkSession, source: DataFrame, table_path: str, blob_
     return _start(source.writeStream.foreachBatch(process), spark, checkpoint, trigger, "ingest")
 
 
+def relay_buffer(spark: SparkSession, buffer: DataFrame, out_path: str, key: str | None = None,
+                 checkpoint: str | None = None, trigger: dict | None = None):
+    """T-W4: forward a buffer stream to a topic every poll interval.
+
+    Each trigger takes what the buffer holds (count-limited by the source's
+    ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``); an empty poll makes no
+    batch. Rows go out as JSON values (K4); the topic here is a JSON file
+    sink, ``sinks.topics.write_topic`` is the Kafka form. A failed query
+    resumes from its checkpoint instead of skipping data.
+    """
+    from framewell.sinks.topics import to_topic_value
+    w = to_topic_value(buffer, key).writeStream.format("json").option("path", out_path)
+    return _start(w, spark, checkpoint, trigger or poll_trigger(0.1), "relay")
+
+
 ARCHIVE_BASE = T.StructType([T.StructField("event_datetime_str", T.StringType())])
 
 
