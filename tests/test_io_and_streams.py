@@ -173,3 +173,27 @@ def test_relay_buffer_forwards_all_rows(spark, tmp_path):
     q.awaitTermination()
     out = spark.read.json(str(tmp_path / "topic")).collect()
     assert sorted(r.key for r in out) == ["io1", "io2"] and all('"value":' in r.value for r in out)
+
+
+def test_collect_batches_timeout_flush(spark, tmp_path):
+    import time
+    d = str(tmp_path / uuid.uuid4().hex)
+    spark.range(0, 70).select(F.col("id").alias("offset"), F.lit("cam0").alias("device_id"),
+                              F.concat(F.lit("n"), F.col("id").cast("string")).alias("name")).write.json(d + "/in")
+    src = spark.readStream.schema("offset long, device_id string, name string").json(d + "/in")
+    out = collect_batches(src, "device_id", ["offset", "name"], 50, timeout_seconds=2)
+    q = (out.writeStream.format("parquet").option("path", d + "/out").option("checkpointLocation", d + "/ck")
+         .trigger(processingTime="1 second").start())
+    rows, t0 = [], time.time()
+    try:
+        while time.time() - t0 < 60:
+            time.sleep(2)
+            try:
+                rows = spark.read.parquet(d + "/out").groupBy("batch_no", "flushed_by").count().collect()
+            except Exception:  # noqa: BLE001 - sink folder not written yet
+                rows = []
+            if sum(r["count"] for r in rows) >= 70:
+                break
+    finally:
+        q.stop()
+    assert sorted((r.batch_no, r.flushed_by, r["count"]) for r in rows) == [(0, "size", 50), (1, "timeout", 20)]
