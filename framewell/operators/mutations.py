@@ -301,24 +301,36 @@ def check_constraints(df: DataFrame, key: str = "id", unique: Sequence[str] = ("
                       email: str | None = "email") -> DataFrame:
     """C4: violations as rows (constraint, value, n).
 
-    Duplicate checks are keyed aggregates (map-side combine, so a hot value
-    stays cheap); null and format checks are one filtered scan each, unioned.
+    One scan and one shuffle: a grouping-sets aggregate groups by the key,
+    by each unique column, and not at all (for the null counts), with
+    map-side combine, so a hot value costs one row per task.
     """
-    parts = [df.groupBy(F.col(key).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-               .filter("n > 1").select(F.lit(f"duplicate {key}").alias("constraint"), "value", "n")]
-    for u in unique:
-        parts.append(df.filter(F.col(u).isNotNull()).groupBy(F.col(u).cast("string").alias("value"))
-                       .agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                       .select(F.lit(f"duplicate {u}").alias("constraint"), "value", "n"))
-    nn = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
-    parts.append(nn.select(F.explode(F.array(*[
-        F.struct(F.lit(f"null {c}").alias("constraint"), F.lit(None).cast("string").alias("value"),
-                 F.col(c).alias("n")) for c in not_null])).alias("_v")).select("_v.*").filter("n > 0"))
-    if email:
-        parts.append(df.filter(F.col(email).isNotNull() & ~F.col(email).rlike(EMAIL_PATTERN))
-                       .groupBy(F.col(email).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-                       .select(F.lit("bad email").alias("constraint"), "value", "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    keycols = [key, *unique]
+    src = df.select(*[F.col(c).cast("string").alias(f"_k_{c}") for c in keycols],
+                    *[F.col(c).isNull().alias(f"_null_{c}") for c in not_null],
+                    (F.col(email).isNotNull() & ~F.col(email).rlike(EMAIL_PATTERN)).alias("_bad")
+                    if email else F.lit(False).alias("_bad"))
+    sets = [[f"_k_{c}"] for c in keycols] + [[]]
+    agg = src.groupingSets(sets, *[f"_k_{c}" for c in keycols]).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_bad").alias("_n_bad"),
+        *[F.count_if(f"_null_{c}").alias(f"_n_null_{c}") for c in not_null],
+        F.grouping_id().alias("_gid"))
+    width = len(keycols)
+    items = []
+    for i, c in enumerate(keycols):
+        # grouping_id bit is 0 for the grouped column, 1 for the others
+        gid = sum(1 << (width - 1 - j) for j in range(width) if j != i)
+        col = F.col(f"_k_{c}")
+        mine = (F.col("_gid") == gid) & col.isNotNull()
+        items.append(F.struct(F.lit(f"duplicate {c}").alias("constraint"), col.alias("value"),
+                              F.when(mine & (F.col("n") > 1), F.col("n")).alias("n")))
+        if c == email:
+            items.append(F.struct(F.lit("bad email").alias("constraint"), col.alias("value"),
+                                  F.when(mine & (F.col("_n_bad") > 0), F.col("_n_bad")).alias("n")))
+    total = F.col("_gid") == (1 << width) - 1
+    for c in not_null:
+        items.append(F.struct(F.lit(f"null {c}").alias("constraint"), F.lit(None).cast("string").alias("value"),
+                              F.when(total & (F.col(f"_n_null_{c}") > 0), F.col(f"_n_null_{c}")).alias("n")))
+    # one pass over the aggregate: each row yields the violations it holds
+    return (agg.select(F.explode(F.array(*items)).alias("_v")).select("_v.*")
+               .filter(F.col("n").isNotNull()))
