@@ -22,31 +22,24 @@ def _type_name(schema_col):
 def flatten_config(df: DataFrame, json_col: str, keep: list[str], max_depth: int = 4) -> DataFrame:
     """JSON objects -> one row per leaf with a dotted key path.
 
-    Parsed once to VARIANT; each level is one ``variant_explode`` over the
-    objects found at the previous level (up to ``max_depth`` levels, deeper
-    objects are returned as JSON text with type 'dict').
+    Parsed once to VARIANT, then one chain of generators: each level
+    explodes the values that are objects (``variant_explode_outer``) and
+    passes the others through unchanged, so the document is read and parsed
+    once whatever the depth. Objects deeper than ``max_depth`` come back as
+    JSON text with type 'dict'.
     """
     spark = df.sparkSession
     cols = ", ".join(f"t.`{c}`" for c in keep)
     level = spark.sql(
         f"SELECT {cols}, v.key AS key, v.value AS value FROM {{src}} t, "
         f"LATERAL variant_explode(parse_json(t.`{json_col}`)) v", src=df)
-    leaves = []
-    for depth in range(max_depth):
-        kind = F.expr("schema_of_variant(value)")
-        is_obj = kind.startswith("OBJECT")
-        last = depth == max_depth - 1
-        leaves.append(level.filter(~is_obj | F.lit(last)))
-        if last:
-            break
-        nested = level.filter(is_obj)
+    for _ in range(max_depth - 1):
         level = spark.sql(
-            f"SELECT {cols}, t.key || '.' || v.key AS key, v.value AS value FROM {{src}} t, "
-            f"LATERAL variant_explode(t.value) v", src=nested)
-    out = leaves[0]
-    for extra in leaves[1:]:
-        out = out.unionByName(extra)
+            f"SELECT {cols}, CASE WHEN v.key IS NULL THEN t.key ELSE t.key || '.' || v.key END AS key, "
+            f"CASE WHEN v.key IS NULL THEN t.value ELSE v.value END AS value FROM {{src}} t, "
+            f"LATERAL variant_explode_outer(CASE WHEN schema_of_variant(t.value) LIKE 'OBJECT%' "
+            f"THEN t.value END) v", src=level)
     kind = F.expr("schema_of_variant(value)")
     text = F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.expr("to_json(value)")) \
         .otherwise(F.expr("variant_get(value, '$', 'string')"))
-    return out.select(*keep, "key", text.alias("value"), _type_name(kind).alias("type"))
+    return level.select(*keep, "key", text.alias("value"), _type_name(kind).alias("type"))
