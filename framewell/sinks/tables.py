@@ -55,16 +55,21 @@ def upsert_table(spark: SparkSession, batch: DataFrame, table_path: str, key: st
         touched = [tuple(r) for r in b.select(*parts).distinct().collect()]
         if not touched:
             return
-        if has_partitions(spark, table_path, parts[0]):
-            target = spark.read.parquet(table_path)
-            for c in parts:  # partition values come back with inferred types
-                target = target.withColumn(c, F.col(c).cast(b.schema[c].dataType))
-            hit = F.struct(*[F.col(c).cast("string") for c in parts]).isin(
-                [F.struct(*[F.lit(None if v is None else str(v)) for v in t]) for t in touched])
-            merged = merge_by_key(target.filter(hit), b, key, order, guard=True)
-        else:
-            merged = keep_last(b, key, order)
-        merged.write.mode("overwrite").partitionBy(*parts).parquet(stage)
+        if not has_partitions(spark, table_path, parts[0]):
+            # first write: nothing is read, so write straight into the table
+            (keep_last(b, key, order).repartition(*parts).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_path))
+            if marker:
+                write_marker(spark, marker)
+            return
+        target = spark.read.parquet(table_path)
+        for c in parts:  # partition values come back with inferred types
+            target = target.withColumn(c, F.col(c).cast(b.schema[c].dataType))
+        hit = F.struct(*[F.col(c).cast("string") for c in parts]).isin(
+            [F.struct(*[F.lit(None if v is None else str(v)) for v in t]) for t in touched])
+        merged = merge_by_key(target.filter(hit), b, key, order, guard=True)
+        # one file per touched partition, not one per task and partition
+        merged.repartition(*parts).write.mode("overwrite").partitionBy(*parts).parquet(stage)
     staged = spark.read.parquet(stage)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*parts).parquet(table_path))
