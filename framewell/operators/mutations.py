@@ -124,9 +124,12 @@ def _apply_ops(df: DataFrame, match: Column, set_: dict | None, unset: dict | No
     return df.select(*[c.alias(k) for k, c in new.items()]), touched
 
 
-def _changed(touched: list[str]) -> Column:
+def _changed(touched: list[str], existing: set[str]) -> Column:
+    """Any touched field differs from its old value (a new field always does)."""
     if not touched:
         return F.lit(False)
+    if any(c not in existing for c in touched):
+        return F.lit(True)
     return ~F.struct(*[F.col(f"_old_{c}") for c in touched]).eqNullSafe(
         F.struct(*[F.col(c) for c in touched]))
 
@@ -147,13 +150,14 @@ def update(df: DataFrame, query: dict | None, set: dict | None = None,  # noqa:
     if one:
         picked = df.filter(match).select(F.min(key)).scalar()
         match = F.coalesce(F.col(key) == picked, F.lit(False))
-    base = df.withColumn("_match", match)
-    for c in df.columns:
-        base = base.withColumn(f"_old_{c}", F.col(c))
+    tops = {p.split(".")[0] for ops in (set_, unset, push) for p in (ops or {})}
+    # old values only for the fields the request touches
+    base = df.select("*", match.alias("_match"),
+                     *[F.col(c).alias(f"_old_{c}") for c in df.columns if c in tops])
     applied, touched = _apply_ops(base, F.col("_match"), set_, unset, push, array_filter)
     added = [c for c in applied.columns if c not in base.columns]
     out = applied.select(*df.columns, *added,
-                         (F.col("_match") & _changed(touched)).alias("_modified"))
+                         (F.col("_match") & _changed(touched, {*df.columns})).alias("_modified"))
     if upsert:
         eq = {k: v for k, v in q.items() if not k.startswith("$") and not isinstance(v, dict)}
         doc = {**eq, **(set_ or {})}
