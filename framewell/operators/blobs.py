@@ -29,7 +29,7 @@ def metadata_with_blob(images: DataFrame, blobs: DataFrame, path_col: str = "img
     """
     b = with_mime(blobs)
     if content == "summary":
-        b = b.select("path", "mime_type", F.octet_length("content").alias("n_bytes"),
+        b = b.select("path", "mime_type", F.octet_length("content").cast("bigint").alias("n_bytes"),
                      F.sha2(F.col("content"), 256).alias("sha256"))
     elif content == "data_uri":
         b = b.select("path", "mime_type", F.concat(F.lit("data:"), F.col("mime_type"), F.lit(";base64,"),

@@ -45,6 +45,19 @@ def _norm(v):
     return v
 
 
+# Spark type name -> DuckDB type name of the same values
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+          "date": "DATE", "binary": "BLOB", "float": "FLOAT"}
+
+
+def type_mismatches(sdf, sql: str, con) -> dict:
+    """Columns whose Spark and DuckDB types differ (by the table above)."""
+    s = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    d = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {k: (s.get(k), d.get(k)) for k in set(s) | set(d) if s.get(k) != d.get(k)}
+
+
 def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None) -> dict:
     con = con or duck(sf_dir)
     sdf = fn(spark, sf_dir)
@@ -69,5 +82,9 @@ def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None) -> dict:
         diff_a = [r for r in a if r not in set(b)][:3] if len(a) < 200000 else []
         diff_b = [r for r in b if r not in set(a)][:3] if len(b) < 200000 else []
         out["spark_only"], out["oracle_only"] = diff_a, diff_b
-    out["ok"] = out["cols_match"] and out["values_match"] and len(s_rows) == len(d_rows)
+    types = type_mismatches(sdf, sql, con)
+    out["types_match"] = not types
+    if types:
+        out["type_mismatches"] = types
+    out["ok"] = out["cols_match"] and out["values_match"] and out["types_match"] and len(s_rows) == len(d_rows)
     return out

@@ -62,7 +62,7 @@ WHERE path NOT IN (SELECT before_img_path FROM envelope
 def q_cascade_delete(spark, d):
     """Blobs left after deleted documents release theirs."""
     out = ch.cascade_delete(fx.blobs(spark, d), _envelope(spark, d))
-    return out.select("path", F.octet_length("content").alias("n_bytes"))
+    return out.select("path", F.octet_length("content").cast("bigint").alias("n_bytes"))
 
 
 @query("orphan_blobs", with_(IMAGES, BLOBS) + """
@@ -89,7 +89,7 @@ FROM blobs WHERE path LIKE '%.jpg' OR path LIKE '%.png'""")
 def q_filter_images(spark, d):
     """Image objects only, by name-guessed MIME type."""
     out = bl.filter_images(fx.blobs(spark, d))
-    return out.select("path", "mime_type", F.octet_length("content").alias("n_bytes"))
+    return out.select("path", "mime_type", F.octet_length("content").cast("bigint").alias("n_bytes"))
 
 
 @query("decode_blob", with_(FRAMES) + """
@@ -101,7 +101,7 @@ def q_decode_blob(spark, d):
     f = fx.frames(spark, d)
     content = b64decode("img")
     return f.select(F.concat("device_id", F.lit("/"), "name").alias("img_path"),
-                    F.octet_length(content).alias("n_bytes"),
+                    F.octet_length(content).cast("bigint").alias("n_bytes"),
                     F.decode(content, "UTF-8").alias("text"), "event_id")
 
 

@@ -102,7 +102,7 @@ def q_update_push(spark, d):
     """M7: $push a line onto every German document's line array."""
     out = mutations.update(fx.doc_lines(spark, d), {"lang": "de"},
                            push={"lines": {"no": -1, "text": "EOF", "n_chars": 3, "flag": False}})
-    return out.select("_id", F.size("lines").alias("n_lines"),
+    return out.select("_id", F.size("lines").cast("bigint").alias("n_lines"),
                       F.element_at("lines", -1).getField("text").alias("last_text"), "_modified")
 
 
@@ -114,7 +114,7 @@ def q_update_array_filter(spark, d):
     """M8: flag the empty lines of two sources' documents (array filter)."""
     out = mutations.update(fx.doc_lines(spark, d), {"source": {"$in": ["src1", "src2"]}},
                            set={"lines.$[l].flag": True}, array_filter={"l.n_chars": 0})
-    return out.select("_id", F.size(F.filter("lines", lambda x: x.getField("flag"))).alias("n_flagged"),
+    return out.select("_id", F.size(F.filter("lines", lambda x: x.getField("flag"))).cast("bigint").alias("n_flagged"),
                       "_modified")
 
 

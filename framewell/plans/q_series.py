@@ -55,7 +55,7 @@ def _latency(spark, d):
     o = fx.table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select("o_orderpriority",
-                    F.datediff(F.col("l_shipdate"), F.col("o_orderdate")).alias("latency_days"))
+                    F.datediff(F.col("l_shipdate"), F.col("o_orderdate")).cast("bigint").alias("latency_days"))
 
 
 @query("latency_stats", with_(_LAT) + """
@@ -72,10 +72,10 @@ def q_latency_stats(spark, d):
 
 @query("latency_histogram", with_(_LAT) + """
 SELECT le, count FROM (
-  SELECT '30' AS le, count_if(latency_days <= 30) AS count, 1 AS o FROM lat
-  UNION ALL SELECT '60', count_if(latency_days <= 60), 2 FROM lat
-  UNION ALL SELECT '90', count_if(latency_days <= 90), 3 FROM lat
-  UNION ALL SELECT '120', count_if(latency_days <= 120), 4 FROM lat
+  SELECT '30' AS le, CAST(count_if(latency_days <= 30) AS BIGINT) AS count, 1 AS o FROM lat
+  UNION ALL SELECT '60', CAST(count_if(latency_days <= 60) AS BIGINT), 2 FROM lat
+  UNION ALL SELECT '90', CAST(count_if(latency_days <= 90) AS BIGINT), 3 FROM lat
+  UNION ALL SELECT '120', CAST(count_if(latency_days <= 120) AS BIGINT), 4 FROM lat
   UNION ALL SELECT '+Inf', count(latency_days), 5 FROM lat)""")
 def q_latency_histogram(spark, d):
     """Cumulative latency buckets."""

@@ -137,7 +137,7 @@ def q_stream_cascade(spark, d):
     cascade_stream(spark, env, f"{base}/tombstones", trigger=_ONCE,
                    checkpoint=f"{base}/ck_cascade").awaitTermination()
     live = live_blobs(spark, fx.blobs(spark, d), f"{base}/tombstones")
-    return live.select("path", F.octet_length("content").alias("n_bytes"))
+    return live.select("path", F.octet_length("content").cast("bigint").alias("n_bytes"))
 
 
 @query("stream_collect", with_(META) + f"""
