@@ -100,6 +100,12 @@ def _expr(e) -> Column:
             return F.round(a[0], int(args[1]) if len(args) > 1 else 0)
         if op == "$toString":
             return a[0].cast("string")
+        if op == "$toDouble":
+            return a[0].cast("double")
+        if op == "$toDecimal":
+            # exact money arithmetic: decimal(18, scale), default two places
+            scale = int(args[1]) if len(args) > 1 else 2
+            return a[0].cast(f"decimal(18,{scale})")
         if op == "$concat":
             return F.concat(*a)
         if op == "$year":

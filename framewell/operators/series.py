@@ -22,7 +22,7 @@ def to_points(df: DataFrame, io_col: str = "io_id", value_col: str = "value",
 
 
 def group_series(points: DataFrame, key: str = "io_id", time_col: str = "time",
-                 value_col: str = "value") -> DataFrame:
+                 value_col: str = "value", exact_scale: int | None = None) -> DataFrame:
     """A4: per series the count, time span, first/last value and totals.
 
     A batch split by io_id ships each series' lists to the time-series store;
@@ -30,12 +30,15 @@ def group_series(points: DataFrame, key: str = "io_id", time_col: str = "time",
     partitioned pass), so here only bounded summaries are computed.
     """
     v, t = F.col(value_col), F.col(time_col)
+    # with ``exact_scale`` the total is a decimal sum (order-independent)
+    total = (F.sum(v.cast(f"decimal(18,{exact_scale})")).cast("double") if exact_scale is not None
+             else F.sum(v))
     return points.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_points"),
         F.min(t).alias("first_time"), F.max(t).alias("last_time"),
         F.min_by(v, t).alias("first_value"), F.max_by(v, t).alias("last_value"),
         F.min(v).alias("min_value"), F.max(v).alias("max_value"),
-        F.sum(v).alias("sum_value"))
+        total.alias("sum_value"))
 
 
 def throughput(df: DataFrame, time_col: str, every: str = "1 hour",

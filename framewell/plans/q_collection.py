@@ -104,16 +104,17 @@ def q_distinct_values(spark, d):
 
 STAGES = [
     {"$match": {"l_shipdate": {"$lte": "1998-09-02"}}},
+    {"$addFields": {"price": {"$toDecimal": "$l_extendedprice"}, "disc": {"$toDecimal": "$l_discount"}}},
     {"$group": {"_id": {"l_returnflag": "$l_returnflag", "l_linestatus": "$l_linestatus"},
                 "sum_qty": {"$sum": "$l_quantity"},
-                "sum_base_price": {"$sum": "$l_extendedprice"},
-                "sum_disc_price": {"$sum": {"$multiply": ["$l_extendedprice", {"$subtract": [1, "$l_discount"]}]}},
+                "sum_base_price": {"$sum": "$price"},
+                "sum_disc_price": {"$sum": {"$multiply": ["$price", {"$subtract": [1, "$disc"]}]}},
                 "avg_disc": {"$avg": "$l_discount"},
                 "count_order": {"$sum": 1}}},
     {"$project": {"l_returnflag": 1, "l_linestatus": 1, "count_order": 1,
                   "sum_qty": {"$round": ["$sum_qty", 2]},
-                  "sum_base_price": {"$round": ["$sum_base_price", 2]},
-                  "sum_disc_price": {"$round": ["$sum_disc_price", 2]},
+                  "sum_base_price": {"$toDouble": {"$round": ["$sum_base_price", 2]}},
+                  "sum_disc_price": {"$toDouble": {"$round": ["$sum_disc_price", 2]}},
                   "avg_disc": {"$round": ["$avg_disc", 6]}}},
     {"$sort": {"l_returnflag": 1, "l_linestatus": 1}},
 ]
@@ -121,12 +122,15 @@ STAGES = [
 
 @query("aggregate_stages", """
 SELECT l_returnflag, l_linestatus, count(*) AS count_order,
-       round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base_price,
-       round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price,
+       round(sum(l_quantity), 2) AS sum_qty,
+       CAST(round(sum(CAST(l_extendedprice AS DECIMAL(18,2))), 2) AS DOUBLE) AS sum_base_price,
+       CAST(round(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))), 2) AS DOUBLE) AS sum_disc_price,
        round(avg(l_discount), 6) AS avg_disc
 FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02'
 GROUP BY l_returnflag, l_linestatus ORDER BY l_returnflag, l_linestatus""")
 def q_aggregate_stages(spark, d):
-    """A5: $match -> $group -> $project -> $sort over lineitem."""
+    """A5: $match -> $addFields -> $group -> $project -> $sort over lineitem
+    (money summed as exact decimals, so the result does not depend on the
+    summation order)."""
     out = collection.aggregate(fx.table(spark, d, "lineitem"), STAGES)
     return out.withColumn("count_order", F.col("count_order").cast("bigint"))

@@ -17,15 +17,16 @@ from framewell.plans.sqlparts import META, POINTS, with_
 @query("group_series", with_(POINTS) + """
 SELECT io_id, count(*) AS n_points, min(time) AS first_time, max(time) AS last_time,
        arg_min(value, time) AS first_value, arg_max(value, time) AS last_value,
-       min(value) AS min_value, max(value) AS max_value, round(sum(value), 4) AS sum_value
+       min(value) AS min_value, max(value) AS max_value,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum_value
 FROM points GROUP BY io_id""")
 def q_group_series(spark, d):
     """Per-series summary of a batch of points."""
     p = series.to_points(fx.points(spark, d))
-    g = series.group_series(p)
+    g = series.group_series(p, exact_scale=2)
     return g.select("io_id", "n_points", as_ntz("first_time").alias("first_time"),
                     as_ntz("last_time").alias("last_time"), "first_value", "last_value",
-                    "min_value", "max_value", F.round("sum_value", 4).alias("sum_value"))
+                    "min_value", "max_value", "sum_value")
 
 
 @query("throughput", with_(META) + """
