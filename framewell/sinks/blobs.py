@@ -12,20 +12,29 @@ from pyspark.sql import functions as F
 
 from framewell.functions.codec import b64decode
 from framewell.functions.paths import img_path
+from framewell.operators.ordering import keep_last
 
 
-def blob_rows(frames: DataFrame, img_col: str = "img") -> DataFrame:
-    """K2 projection: path '{device_id}/{name}' and decoded bytes (bad -> dropped)."""
-    out = frames.select(img_path("device_id", "name").alias("path"), b64decode(img_col).alias("content"),
-                        F.col("device_id"))
-    return out.filter(F.col("path").isNotNull() & F.col("content").isNotNull())
+def blob_rows(frames: DataFrame, img_col: str = "img", order: str | None = None) -> DataFrame:
+    """K2 projection: path '{device_id}/{name}' and decoded bytes (bad -> dropped).
 
+    With ``order`` (arrival), a path written several times keeps the last
+    write, as an object store does.
+    """
+    cols = [img_path("device_id", "name").alias("path"), b64decode(img_col).alias("content"), F.col("device_id")]
+    out = frames.select(*cols, *([F.col(order)] if order else []))
+    out = out.filter(F.col("path").isNotNull() & F.col("content").isNotNull())
+    return keep_last(out, "path", order).drop(order) if order else out
 
-def write_blobs(frames: DataFrame, root: str, batch_id: int | None = None, img_col: str = "img") -> None:
-    """K2: decode and store every frame's payload, partitioned by device."""
+
+def write_blobs(frames: DataFrame, root: str, batch_id: int | None = None, img_col: str = "img",
+                order: str | None = "offset") -> None:
+    """K2: decode and store every frame's payload, partitioned by device;
+    one row per path per batch (last arrival)."""
     target = f"{root.rstrip('/')}/_batch={batch_id}" if batch_id is not None else root
     mode = "overwrite" if batch_id is not None else "append"
-    blob_rows(frames, img_col).write.mode(mode).partitionBy("device_id").parquet(target)
+    order = order if order in frames.columns else None
+    blob_rows(frames, img_col, order).write.mode(mode).partitionBy("device_id").parquet(target)
 
 
 def upload_blobs(df: DataFrame, root: str, name_col: str = "name", content_col: str = "content",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewell.operators.ordering import keep_last
+
 
 def list_blobs(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
     """Every stored object's path, size and time; bytes are not read
@@ -28,6 +30,11 @@ def read_blob(spark: SparkSession, root: str, key: str) -> DataFrame:
 
 
 def read_blob_table(spark: SparkSession, path: str, keys: DataFrame | None = None) -> DataFrame:
-    """S8 over the parquet blob table written by ``sinks.blobs.write_blobs``."""
+    """S8 over the parquet blob table written by ``sinks.blobs.write_blobs``:
+    the newest batch's bytes for each path (later writes replace earlier)."""
     df = spark.read.parquet(path)
-    return df.join(keys, "path", "left_semi") if keys is not None else df
+    if keys is not None:
+        df = df.join(keys, "path", "left_semi")
+    if "_batch" in df.columns:
+        df = keep_last(df, "path", "_batch").drop("_batch")
+    return df

@@ -197,3 +197,34 @@ def test_collect_batches_timeout_flush(spark, tmp_path):
     finally:
         q.stop()
     assert sorted((r.batch_no, r.flushed_by, r["count"]) for r in rows) == [(0, "size", 50), (1, "timeout", 20)]
+
+
+def test_ingest_restart_from_checkpoint_no_duplicates(spark, tmp_path):
+    from framewell.plans import fixtures as fx
+    from framewell.sources.topics import read_topic_files, write_topic_files
+    from framewell.streaming.ingest import ingest_frames
+    base = str(tmp_path / uuid.uuid4().hex)
+    topic = fx.topic(spark, "/root/testdata/sf0.001")
+    write_topic_files(topic.filter("offset < 600"), base + "/topic", n_files=2)
+
+    def run():
+        src = read_topic_files(spark, base + "/topic", max_files_per_trigger=1)
+        ingest_frames(spark, src, base + "/images", base + "/blobs", base + "/rejects",
+                      checkpoint=base + "/ck", trigger={"availableNow": True}, n_buckets=4,
+                      metrics_path=base + "/metrics").awaitTermination()
+
+    run()
+    first = spark.read.parquet(base + "/metrics").count()
+    run()                                              # nothing new: no batch, no rewrite
+    assert spark.read.parquet(base + "/metrics").count() == first
+    write_topic_files(topic.filter("offset >= 600"), base + "/topic", n_files=1)
+    run()                                              # only the new file is processed
+    m = spark.read.parquet(base + "/metrics").agg(F.sum("n_rows")).first()[0]
+    assert m == topic.count()
+    blobs = spark.read.parquet(base + "/blobs")
+    assert blobs.count() == blobs.select("path", "_batch").distinct().count()
+    from framewell.sources.blobs import read_blob_table
+    live = read_blob_table(spark, base + "/blobs")
+    t = read_keyed_table(spark, base + "/images")
+    assert t.count() == t.select("name").distinct().count()
+    assert live.count() == live.select("path").distinct().count() == t.count()
