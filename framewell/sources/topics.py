@@ -29,8 +29,10 @@ def kafka_options(brokers: Sequence[str] | str, topics: Sequence[str] | str,
     brokers = brokers.replace("\n", "").strip()
     if not isinstance(topics, str):
         topics = ",".join(topics)
+    # offsets resume from the query checkpoint; lost offsets fail the query
+    # (Spark's default) instead of being skipped silently
     opts = {"kafka.bootstrap.servers": brokers, "subscribe": topics,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+            "startingOffsets": starting_offsets}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
     opts.update(extra or {})
