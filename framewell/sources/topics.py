@@ -58,10 +58,14 @@ def read_topic_files(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def write_topic_files(df: DataFrame, path: str, n_files: int | None = None) -> None:
-    """Lay a batch of (offset, value) rows down as a file-backed topic."""
+    """Lay a batch of (offset, value) rows down as a file-backed topic.
+
+    Files are not offset ranges (no sampling pass): consumers order by the
+    ``offset`` column, never by file order.
+    """
     out = df.select("offset", "value")
     if n_files:
-        out = out.repartitionByRange(n_files, "offset")
+        out = out.repartition(n_files, "offset")
     out.write.mode("append").json(path)
 
 
