@@ -24,10 +24,10 @@ def newest_valid_frames(topic: DataFrame) -> DataFrame:
     map-side combine."""
     good, _ = parse.split_rejects(parse.validate_frames(topic, keep=["offset"]))
     meta = parse.derive_metadata(good.drop("img"), with_process_time=False)
+    # only the carried columns go into the aggregate buffers
+    meta = meta.select("device_id", "name", "event_datetime", "img_path", "offset")
     last = ordering.keep_last(meta, "name", "offset")
-    newest = ordering.latest_per_key(
-        last.select("device_id", "name", "event_datetime", "img_path", "offset"),
-        "device_id", ("event_datetime", "name"))
+    newest = ordering.latest_per_key(last, "device_id", ("event_datetime", "name"))
     return newest.withColumn("event_datetime", as_ntz(F.col("event_datetime")))
 
 
