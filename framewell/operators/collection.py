@@ -49,16 +49,18 @@ def total_count(df: DataFrame, query: dict | None = None) -> DataFrame:
     return find(df, query).agg(F.count(F.lit(1)).alias("total_count"))
 
 
-def find_by_id(df: DataFrame, ids: DataFrame, key: str = "_id", id_col: str = "requested_id") -> DataFrame:
+def find_by_id(df: DataFrame, ids: DataFrame, key: str = "_id", id_col: str = "requested_id",
+               miss_code: int = 400) -> DataFrame:
     """F6 for many ids at once: each requested id with its document or a miss.
 
-    A miss is reported (code 400 and a message), never raised.
+    A miss is reported (``miss_code`` and a message), never raised: 400 for
+    the collection service, 404 for the user table.
     """
     req = ids.select(F.col(id_col)).distinct()
     docs = df.withColumn("_found", F.lit(True))
     out = req.join(docs, req[id_col] == docs[key], "left")
     found = F.coalesce(F.col("_found"), F.lit(False))
-    return (out.withColumn("code", F.when(found, F.lit(200)).otherwise(F.lit(400)))
+    return (out.withColumn("code", F.when(found, F.lit(200)).otherwise(F.lit(miss_code)))
                .withColumn("message", F.when(~found, F.concat(F.lit("doc is not found, doc_id : "),
                                                               F.col(id_col).cast("string"))))
                .drop("_found"))

@@ -247,3 +247,12 @@ def test_fps_resets_match_sequential_loop(spark):
         secs = [(x - datetime(1970, 1, 1)).total_seconds() for x in ts]
         exp += [(dev, ts[i], c) for i, c in fps_resets_local(secs)]
     assert got == sorted(exp) and whole == sorted(exp)
+
+
+def test_find_by_id_reports_misses(spark):
+    docs = spark.createDataFrame([("a", 1), ("b", 2)], "_id string, v int")
+    ids = spark.createDataFrame([("a",), ("z",), ("a",)], "requested_id string")
+    got = {r.requested_id: (r.code, r.message) for r in collection.find_by_id(docs, ids).collect()}
+    assert got == {"a": (200, None), "z": (400, "doc is not found, doc_id : z")}
+    users = collection.find_by_id(docs, ids, miss_code=404).filter("requested_id = 'z'").first()
+    assert users.code == 404
