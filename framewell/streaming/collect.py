@@ -33,8 +33,9 @@ class _CollectProcessor(StatefulProcessor):
         self.pending = handle.getListState("pending", self.item_schema)
         self.meta = handle.getValueState("meta", "batch_no long, deadline long")
 
-    def _emit(self, key_value, items: list[tuple], batch_no: int, reason: str) -> pd.DataFrame:
-        pdf = pd.DataFrame(items, columns=self.fields)
+    def _emit(self, key_value, items, batch_no: int, reason: str) -> pd.DataFrame:
+        pdf = items.reset_index(drop=True).copy() if isinstance(items, pd.DataFrame) else \
+            pd.DataFrame(items, columns=self.fields)
         pdf.insert(0, self.key, key_value)
         pdf["batch_no"] = batch_no
         pdf["flushed_by"] = reason
@@ -45,23 +46,29 @@ class _CollectProcessor(StatefulProcessor):
         meta = self.meta.get() if self.meta.exists() else None
         batch_no, deadline = (int(meta[0]), int(meta[1])) if meta else (0, -1)
         pending = list(self.pending.get()) if self.pending.exists() else []
+        had_pending = bool(pending)
+        # vectorised: pending items first, then this trigger's rows in arrival order
+        frames = [pd.DataFrame(pending, columns=self.fields)] if pending else []
+        frames += [pdf[self.fields] for pdf in rows]
+        items = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=self.fields)
+        n_full = len(items) // self.max_size
         out = []
-        for pdf in rows:
-            for item in pdf[self.fields].itertuples(index=False, name=None):
-                if not pending and self.timeout_ms is not None:
-                    deadline = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
-                    self.handle.registerTimer(deadline)
-                pending.append(item)
-                if len(pending) >= self.max_size:
-                    out.append(self._emit(key_value, pending, batch_no, "size"))
-                    batch_no += 1
-                    pending = []
-                    if deadline >= 0:
-                        self.handle.deleteTimer(deadline)
-                    deadline = -1
+        for i in range(n_full):
+            chunk = items.iloc[i * self.max_size:(i + 1) * self.max_size]
+            out.append(self._emit(key_value, chunk, batch_no + i, "size"))
+        rest = items.iloc[n_full * self.max_size:]
+        batch_no += n_full
+        if self.timeout_ms is not None and (n_full or not had_pending):
+            # the batch that was timing out was flushed, or none was pending
+            if deadline >= 0:
+                self.handle.deleteTimer(deadline)
+                deadline = -1
+            if len(rest):
+                deadline = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
+                self.handle.registerTimer(deadline)
         self.pending.clear()
-        if pending:
-            self.pending.put(pending)
+        if len(rest):
+            self.pending.put(list(rest.itertuples(index=False, name=None)))
         self.meta.update((batch_no, deadline))
         yield from out
 
