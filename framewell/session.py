@@ -53,6 +53,8 @@ def work_dir(spark: SparkSession) -> str:
             base = spark.conf.get(_CKPT_KEY, None)
         except Exception:  # noqa: BLE001 - conf lookups differ across deploy modes
             base = None
+    if not base and sc.getCheckpointDir():
+        base = sc.getCheckpointDir()  # set earlier by setCheckpointDir
     if not base:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
