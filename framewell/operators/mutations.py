@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewell.functions.predicates import coerce_query, query_to_column
-from framewell.operators.ordering import keep_last
+from framewell.operators.ordering import keep_last, keep_last_values
 
 
 # --- literals typed by the target column ----------------------------------------
@@ -258,15 +258,18 @@ def insert_many(target: DataFrame, docs: DataFrame, key: str | None = None) -> D
 
 def merge_by_key(target: DataFrame, batch: DataFrame, key: str = "name",
                  order: str | Sequence[str] = "event_id", drop: Sequence[str] = (),
-                 guard: bool = False) -> DataFrame:
+                 guard: bool = False, partial: bool = False) -> DataFrame:
     """``update_one({key: k}, {'$set': doc}, upsert=True)`` for a batch.
 
     Last arrival wins inside the batch (W1); batch fields overwrite, fields
     only the target has survive, unknown keys are inserted. One full outer
     join on the key. With ``guard`` a stored row is replaced only by a batch
-    row whose ``order`` is not smaller (replay- and reorder-safe).
+    row whose ``order`` is not smaller (replay- and reorder-safe). With
+    ``partial`` records may carry a subset of the fields: null means "not
+    supplied", so within the batch each field keeps its last supplied value
+    and a stored value survives where the batch supplies none.
     """
-    b = keep_last(batch, key, order)
+    b = keep_last_values(batch, key, order) if partial else keep_last(batch, key, order)
     b = b.drop(*drop)
     b_cols = [c for c in b.columns if c != key]
     t_cols = [c for c in target.columns if c != key]
@@ -281,7 +284,11 @@ def merge_by_key(target: DataFrame, batch: DataFrame, key: str = "name",
             hit = hit & (F.col(ocols[0]).isNull() | (b_o >= t_o))
     cols = [F.col(key)]
     for c in t_cols:
-        cols.append(F.when(hit, F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c) if c in b_cols else F.col(c))
+        if c not in b_cols:
+            cols.append(F.col(c))
+            continue
+        new = F.coalesce(F.col(f"_b_{c}"), F.col(c)) if partial else F.col(f"_b_{c}")
+        cols.append(F.when(hit, new).otherwise(F.col(c)).alias(c))
     for c in b_cols:
         if c not in t_cols:
             cols.append(F.col(f"_b_{c}").alias(c))

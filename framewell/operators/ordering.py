@@ -45,6 +45,23 @@ def keep_last(df: DataFrame, key: str | Sequence[str] = "name",
     return out.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+def keep_last_values(df: DataFrame, key: str | Sequence[str] = "name",
+                     order: str | Sequence[str] = "event_id") -> DataFrame:
+    """W1 for partial records: per key, each field's last non-null value.
+
+    A null means "not supplied", so a later message that lacks a field
+    does not erase an earlier value ($set semantics within one batch).
+    One aggregate with one ``max_by`` per field (map-side combine).
+    """
+    keys = _list(key)
+    ocols = _list(order)
+    rest = [c for c in df.columns if c not in keys]
+    o = _order_key(order)
+    aggs = [F.max_by(F.col(c), o).alias(c) if c in ocols
+            else F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o)).alias(c) for c in rest]
+    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
+
+
 def keep_first(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
     keys = _list(key)
     rest = [c for c in df.columns if c not in keys]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewell.operators.mutations import merge_by_key
-from framewell.operators.ordering import keep_last
+from framewell.operators.ordering import keep_last, keep_last_values
 from framewell.session import work_dir
 from framewell.sinks.fs import has_partitions, path_exists, write_marker
 
@@ -29,7 +29,8 @@ def bucket_of(key: str, n_buckets: int):
 
 def upsert_table(spark: SparkSession, batch: DataFrame, table_path: str, key: str = "name",
                  order: str | Sequence[str] = "offset", n_buckets: int = 64,
-                 batch_id: int | None = None, partition_by: Sequence[str] | None = None) -> None:
+                 batch_id: int | None = None, partition_by: Sequence[str] | None = None,
+                 partial: bool = False) -> None:
     """K1: merge a batch into the keyed table at ``table_path``.
 
     Last arrival wins within the batch; across batches a row is replaced
@@ -40,7 +41,8 @@ def upsert_table(spark: SparkSession, batch: DataFrame, table_path: str, key: st
     columns that the key determines (for frames: device and capture hour,
     both part of the frame name). A batch rewrites only the partitions it
     touches, so with time-determined partitions it rewrites recent data
-    only, however large the table is.
+    only, however large the table is. ``partial``: records may carry a
+    subset of the fields (null = not supplied), see ``merge_by_key``.
     """
     table_path = table_path.rstrip("/")
     parts = list(partition_by) if partition_by else ["_bucket"]
@@ -57,7 +59,8 @@ def upsert_table(spark: SparkSession, batch: DataFrame, table_path: str, key: st
             return
         if not has_partitions(spark, table_path, parts[0]):
             # first write: nothing is read, so write straight into the table
-            (keep_last(b, key, order).repartition(*parts).write.mode("overwrite")
+            first = keep_last_values(b, key, order) if partial else keep_last(b, key, order)
+            (first.repartition(*parts).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_path))
             if marker:
                 write_marker(spark, marker)
@@ -67,7 +70,7 @@ def upsert_table(spark: SparkSession, batch: DataFrame, table_path: str, key: st
             target = target.withColumn(c, F.col(c).cast(b.schema[c].dataType))
         hit = F.struct(*[F.col(c).cast("string") for c in parts]).isin(
             [F.struct(*[F.lit(None if v is None else str(v)) for v in t]) for t in touched])
-        merged = merge_by_key(target.filter(hit), b, key, order, guard=True)
+        merged = merge_by_key(target.filter(hit), b, key, order, guard=True, partial=partial)
         # one file per touched partition, not one per task and partition
         merged.repartition(*parts).write.mode("overwrite").partitionBy(*parts).parquet(stage)
     staged = spark.read.parquet(stage)

@@ -256,3 +256,16 @@ def test_find_by_id_reports_misses(spark):
     assert got == {"a": (200, None), "z": (400, "doc is not found, doc_id : z")}
     users = collection.find_by_id(docs, ids, miss_code=404).filter("requested_id = 'z'").first()
     assert users.code == 404
+
+
+def test_partial_records_keep_untouched_fields(spark):
+    target = spark.createDataFrame([("n1", 1, "w0", "h0", "keep")],
+                                   "name string, offset long, width string, height string, label string")
+    batch = spark.createDataFrame([("n1", 5, "w5", None), ("n1", 6, None, "h6"), ("n2", 7, None, "h7")],
+                                  "name string, offset long, width string, height string")
+    m = {r.name: (r.offset, r.width, r.height, r.label)
+         for r in mutations.merge_by_key(target, batch, "name", "offset", partial=True).collect()}
+    assert m == {"n1": (6, "w5", "h6", "keep"), "n2": (7, None, "h7", None)}
+    whole = {r.name: (r.width, r.height)
+             for r in mutations.merge_by_key(target, batch, "name", "offset").collect()}
+    assert whole["n1"] == (None, "h6")   # whole-row mode: the last message replaces the row
