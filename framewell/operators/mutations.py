@@ -113,6 +113,11 @@ def _apply_ops(df: DataFrame, match: Column, set_: dict | None, unset: dict | No
     for path, v in (push or {}).items():
         parts = path.split(".")
         top = parts[0]
+        if top not in new and len(parts) == 1:
+            # missing array: created with the one pushed element on matched rows
+            new[top] = F.when(match, F.array(v if isinstance(v, Column) else F.lit(v)))
+            touch(top)
+            continue
         arr_type = _field_type(schema, parts)
         elem = _typed(v, arr_type.elementType)  # type: ignore[attr-defined]
 

@@ -103,6 +103,8 @@ def test_push_null_and_missing_arrays_and_array_filter(spark):
     out = mutations.update(df, {}, push={"tags": "new"})
     got = {r._id: r.tags for r in out.collect()}
     assert got == {"a": ["new"], "b": ["x", "new"]}
+    missing = mutations.update(df, {"_id": "b"}, push={"labels": "first"})
+    assert {r._id: r.labels for r in missing.collect()} == {"a": None, "b": ["first"]}
     none = mutations.update(df, {"_id": "b"}, set={"items.$[e].v": "z"}, array_filter={"e.k": 9})
     r = none.filter("_id = 'b'").first()
     assert [x.v for x in r["items"]] == ["p", "q"] and r["_modified"] is False
