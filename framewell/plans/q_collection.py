@@ -134,3 +134,16 @@ def q_aggregate_stages(spark, d):
     summation order)."""
     out = collection.aggregate(fx.table(spark, d, "lineitem"), STAGES)
     return out.withColumn("count_order", F.col("count_order").cast("bigint"))
+
+
+@query("paginate_keyset", with_(IMAGES) + """
+SELECT _id, device_id, event_datetime FROM images
+WHERE status = 'O' AND (event_datetime < TIMESTAMP '1996-06-30 00:00:00'
+      OR (event_datetime = TIMESTAMP '1996-06-30 00:00:00' AND _id > '5000'))
+ORDER BY event_datetime DESC, _id ASC LIMIT 10""")
+def q_paginate_keyset(spark, d):
+    """O2 deep-page form: the page after a seen sort key (no offset scan)."""
+    m = collection.find(fx.images(spark, d), {"status": "O"})
+    after = (F.lit("1996-06-30 00:00:00").cast("timestamp"), "5000")
+    page = ordering.keyset_page(m, ["-event_datetime", "_id"], after, 10)
+    return page.select("_id", "device_id", "event_datetime")

@@ -177,3 +177,14 @@ def q_fps_resets(spark, d):
     m = fx.frame_metadata(spark, d).select("device_id", "name", "event_datetime")
     out = resets.fps_resets(m, "event_datetime", "device_id", "name", 1.0)
     return out.select("device_id", as_ntz("reset_time").alias("reset_time"), "fps")
+
+
+@query("retain_recent_per_user", """
+SELECT e.event_id, e.user_id, e.ts FROM events e
+JOIN (SELECT user_id, max(ts) AS newest FROM events GROUP BY user_id) m USING (user_id)
+WHERE e.ts >= m.newest - INTERVAL 1 DAY""")
+def q_retain_recent_per_user(spark, d):
+    """F11 per stream: each user's entries no older than one day before that
+    user's newest (keyed max joined back)."""
+    ev = fx.table(spark, d, "events").select("event_id", "user_id", "ts")
+    return series.retain_recent(ev, "ts", "1 day", key="user_id").select("event_id", "user_id", "ts")
