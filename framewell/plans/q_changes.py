@@ -115,3 +115,10 @@ def q_change_topic(spark, d):
     e = _envelope(spark, d).select("collection", "doc_id", "operation_type",
                                    F.col("before_doc.img_path").alias("before_img_path"))
     return to_topic_value(e, key="doc_id")
+
+
+@query("referenced_blobs", with_(IMAGES, BLOBS) + """
+SELECT path, device_id FROM blobs WHERE path IN (SELECT img_path FROM images)""")
+def q_referenced_blobs(spark, d):
+    """J3 complement: blobs some image document references (left semi)."""
+    return ch.referenced_blobs(fx.blobs(spark, d), fx.images(spark, d)).select("path", "device_id")

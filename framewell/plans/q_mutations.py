@@ -195,3 +195,11 @@ def q_check_constraints(spark, d):
     u = fx.users(spark, d).unionByName(fx.supplier_users(spark, d))
     return mutations.check_constraints(u.withColumn("id", F.col("id")), key="id", unique=["email"],
                                        not_null=["name", "email"], email="email")
+
+
+@query("deleted_count", """
+SELECT count(*) AS deleted_count FROM orders WHERE o_orderstatus = 'F' AND o_totalprice < 50000""")
+def q_deleted_count(spark, d):
+    """The count a delete_many returns."""
+    return mutations.deleted_count(fx.table(spark, d, "orders"),
+                                   {"o_orderstatus": "F", "o_totalprice": {"$lt": 50000}})

@@ -188,3 +188,10 @@ def q_retain_recent_per_user(spark, d):
     user's newest (keyed max joined back)."""
     ev = fx.table(spark, d, "events").select("event_id", "user_id", "ts")
     return series.retain_recent(ev, "ts", "1 day", key="user_id").select("event_id", "user_id", "ts")
+
+
+@query("retention_removed", """
+SELECT CAST(count_if(ts < (SELECT max(ts) FROM events) - INTERVAL 1 DAY) AS BIGINT) AS removed_count FROM events""")
+def q_retention_removed(spark, d):
+    """how many entries one trim removes."""
+    return series.removed_count(fx.table(spark, d, "events"), "ts", "1 day")
