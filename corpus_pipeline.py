@@ -8,13 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewell.llm.common import materialise, table
+from framewell.llm.common import bound_batches, materialise, table
 from framewell.llm.decontaminate import drop_contaminated
+from framewell.llm.lang_id import keep_identified
+from framewell.llm.mixing import with_rates
 from framewell.llm.ngram_join import keep_first
+from framewell.llm.pseudonyms import with_pseudonyms
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter or without a clear language go."""
+    bound_batches(spark)
+    return keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked texts stays."""
+    bound_batches(spark)
     return keep_first(docs)
 
 
@@ -23,7 +33,19 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("ngram_join", near_duplicates), ("decontaminate", decontamination)]
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data get pseudonyms; no document goes."""
+    bound_batches(spark)
+    return with_pseudonyms(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rates and copies that bring quality classes to their target shares; rows of no copy go."""
+    return with_rates(docs, table(spark, sf_dir, "labels"))
+
+
+STAGES = [("language_id", language_id), ("ngram_join", near_duplicates), ("decontaminate", decontamination),
+          ("pseudonyms", pseudonyms), ("mixing", mixing)]
 
 # Hashing, models and keyed permutations have no SQL form; tests compare with brute force.
 ORACLE_SQL = None

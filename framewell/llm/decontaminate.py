@@ -41,11 +41,7 @@ HITS = T.StructType([T.StructField("n_words", T.LongType()),
 
 
 def words(text: bytes | None) -> list[bytes]:
-    return text.translate(_FOLD).split(b" ") if text else []
-
-
-def item_words(text: bytes | None) -> list[bytes]:
-    return [w for w in words(text) if w]
+    return text.translate(_FOLD).split() if text else []
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -55,7 +51,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataF
 
     def make():
         def fn(batch):
-            seq = [b" ".join(item_words(t)).decode("utf-8") for t in utf8(batch.column(1))]
+            seq = [b" ".join(words(t)).decode("utf-8") for t in utf8(batch.column(1))]
             return [{"item_id": batch.column(0).cast(pa.int64()), "seq": seq}]
         return fn
 
@@ -98,7 +94,7 @@ class WuManber:
     def search(self, text: bytes | None) -> tuple[int, int, list[int], list[int]]:
         """(words, hit words, merged word spans as start, end, start, ..., window ids)."""
         get = self.ids.get
-        seq = [get(w, 0) for w in words(text) if w]
+        seq = [get(w, 0) for w in words(text)]
         found: set[int] = set()
         spans: list[tuple[int, int]] = []
         n, base = len(seq), self.base

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from framewell.llm.common import table
 from framewell.llm.decontaminate import decontaminate
+from framewell.llm.lang_id import identify
+from framewell.llm.mixing import mix
 from framewell.llm.ngram_join import ngram_classes
+from framewell.llm.pseudonyms import pseudonymise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +37,18 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_ngram_join")
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op2_pseudonyms")
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"))
+
+
+@query("op10_mixing")
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
