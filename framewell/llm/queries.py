@@ -11,6 +11,7 @@ from framewell.llm.common import table
 from framewell.llm.decontaminate import decontaminate
 from framewell.llm.lang_id import identify
 from framewell.llm.mixing import mix
+from framewell.llm.near_vectors import near_vectors
 from framewell.llm.ngram_join import ngram_classes
 from framewell.llm.pseudonyms import pseudonymise
 
@@ -52,3 +53,8 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_near_vectors")
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
