@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewell.llm.archives import pages_through_archives
 from framewell.llm.common import table
 from framewell.llm.decontaminate import decontaminate
 from framewell.llm.lang_id import identify
@@ -58,3 +59,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_near_vectors")
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_archives", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to, TRUE AS intact
+FROM m""")
+def op7_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_through_archives(table(spark, sf_dir, "pages"))
