@@ -14,6 +14,7 @@ from framewell.llm.lang_id import identify
 from framewell.llm.mixing import mix
 from framewell.llm.near_vectors import near_vectors
 from framewell.llm.ngram_join import ngram_classes
+from framewell.llm.page_text import extract
 from framewell.llm.pseudonyms import pseudonymise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +72,8 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m""")
 def op7_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_through_archives(table(spark, sf_dir, "pages"))
+
+
+@query("op9_page_text")
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
