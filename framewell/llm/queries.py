@@ -11,11 +11,13 @@ from framewell.llm.archives import pages_through_archives
 from framewell.llm.common import table
 from framewell.llm.decontaminate import decontaminate
 from framewell.llm.lang_id import identify
+from framewell.llm.licenses import scan, scan_sql
 from framewell.llm.mixing import mix
 from framewell.llm.near_vectors import near_vectors
 from framewell.llm.ngram_join import ngram_classes
 from framewell.llm.page_text import extract
 from framewell.llm.pseudonyms import pseudonymise
+from framewell.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +79,13 @@ def op7_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_page_text")
 def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op5_licenses", scan_sql())
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"))
