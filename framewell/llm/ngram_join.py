@@ -13,7 +13,8 @@ Two texts link when ``100 * intersection >= percent * union`` of their sets of d
    this order. Shingle lists of these prefixes that have two classes or more make the
    candidates: first every member against the smallest member of its list, so that a group
    of g near copies costs about g comparisons and not g squared; then, only for lists
-   that still join different components, all pairs across these components.
+   that still join different components, all pairs across these components. A pair
+   whose prefixes share too few shingles for any overlap of the rest is dropped.
 4. Candidates of one probe are verified together: their sets, commonest shingle
    first, are walked as a trie (sorted order, each set sharing the overlap counted
    along its common prefix with the one before), and a subtree ends as soon as
@@ -28,6 +29,7 @@ component. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +38,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from framewell.llm.common import connected_components, map_batches, materialise, utf8
+from framewell.llm.common import connected_components, map_batches, materialise
 
 N, PERCENT = 5, 80
 SKETCH_BITS = 18  # counters of the ordering sketch: 2^18, whatever the input
 BITMAP_BITS = 26  # cells of an id bitmap: 2^26 bits = 8 MB, whatever the input
-STRIDE = 128  # trie nodes walked between two looks at the bound
+STRIDE, LOOK = 128, 12  # trie nodes walked between two looks at the bound, for one probe and for many
+PAIR_LIST = 96  # lists of more members are joined in trie blocks, not as pairs of rows
 CHUNK = 400  # candidate sets of one probe that are walked in one trie
-WORD_CACHE = 400_000  # words whose hash a task remembers
+PIECE_BYTES = 1 << 20  # bytes hashed at once
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
                 dtype=np.uint64)  # fixed odd multipliers, one per place in a shingle
@@ -62,32 +64,72 @@ def _avalanche(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingler(n: int):
-    """Text bytes -> sorted array of the distinct 64-bit hashes of its shingles."""
-    known: dict[bytes, int] = {}
-
-    def hashed(w: bytes) -> int:
-        if len(known) >= WORD_CACHE:
-            known.clear()
-        h = known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        return h
-
-    def place(k: int) -> np.uint64:
-        return _MIX[k % 8] * np.uint64(2 * (k // 8) + 1)
-
-    def shingles(text: bytes | None) -> np.ndarray:
-        words = [w for w in text.translate(_LOWER).split(b" ") if w] if text else []
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        get = known.get
-        h = np.array([get(w) or hashed(w) for w in words], dtype=np.uint64)
-        size = min(n, len(h))
-        total = np.full(len(h) - size + 1, size, dtype=np.uint64)
-        for k in range(size):
-            total += _avalanche(h[k:len(h) - size + 1 + k] + place(k)) * place(k)
-        return np.unique(_avalanche(total))
-
-    return shingles
+def _byte_values() -> np.ndarray:
+    """A 64-bit value for each byte, the same for A-Z as for a-z; 0 for white space."""
+    v = _avalanche((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _MIX[0])
+    v[65:91] = v[97:123]
+    v[9:14] = v[32] = 0
+    return v
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts laid end to end in ``data``, and where each text's words begin
+    in them (one entry more than texts). Works through pieces of about PIECE_BYTES, cut at
+    a text's end or at white space."""
+    values = _byte_values()
+    first = np.zeros(len(data) + 1, dtype=bool)
+    first[offsets[:-1]] = True
+    hashes, starts, at = [], [], 0
+    while at < len(data):
+        end = min(len(data), at + PIECE_BYTES)
+        while end < len(data) and not (first[end] or data[end] == 32 or 9 <= data[end] <= 13):
+            end += 1
+        v = values[data[at:end]]
+        inside = v != 0
+        begin = inside.copy()
+        begin[1:] &= ~inside[:-1] | first[at + 1:end]
+        where = np.flatnonzero(begin)
+        if len(where):
+            place = np.arange(len(v)) - np.repeat(np.append(0, where), np.diff(np.concatenate([[0], where, [len(v)]])))
+            hashes.append(_avalanche(np.add.reduceat(v * _power(place), where)))
+            starts.append(where + at)
+        at = end
+    if not hashes:
+        return np.empty(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets)
+
+
+def _power(place: np.ndarray) -> np.ndarray:
+    """The odd multiplier of a byte at each place in its word."""
+    table = np.cumprod(np.full(int(place.max()) + 1, _MIX[1], dtype=np.uint64))
+    return table[place]
+
+
+def batch_shingles(column: pa.Array, n: int) -> list[np.ndarray]:
+    """For each text the sorted array of the distinct 64-bit hashes of its shingles: ``n`` words
+    each, or all words of a text that has fewer; none for null or wordless texts."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, dtype=np.uint8)[offsets[0]:offsets[-1]] if raw is not None and len(offsets) else np.empty(0, np.uint8)
+    words, begin = word_hashes(data, offsets - offsets[0])
+    full = np.zeros(max(0, len(words) - n + 1), dtype=np.uint64)
+    for k in range(n):
+        full += _avalanche(words[k:len(full) + k] + _MIX[k % 8]) * _MIX[k % 8]
+    full = _avalanche(full)
+    out = []
+    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        if b - a >= n:
+            s = np.sort(full[a:b - n + 1])
+            keep = np.ones(len(s), dtype=bool)
+            np.not_equal(s[1:], s[:-1], out=keep[1:])
+            out.append(s[keep])
+        elif b > a:
+            few = [hashlib.blake2b(words[a:b].tobytes(), digest_size=8).digest()]
+            out.append(np.frombuffer(few[0], dtype=np.uint64))
+        else:
+            out.append(np.empty(0, dtype=np.uint64))
+    return out
 
 
 def scan(docs: DataFrame, n: int = N) -> DataFrame:
@@ -97,12 +139,11 @@ def scan(docs: DataFrame, n: int = N) -> DataFrame:
     arrow = to_arrow_schema(SCAN)
 
     def run(batches):
-        cut = shingler(n)
         total = np.zeros(width, dtype=np.int64)
         for batch in batches:
-            sets = [cut(t) for t in utf8(batch.column(1))]
-            for s in sets:
-                np.add.at(total, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+            sets = batch_shingles(batch.column(1), n)
+            cells = np.concatenate([s >> np.uint64(64 - SKETCH_BITS) for s in sets] or [np.empty(0, np.uint64)])
+            total += np.bincount(cells.astype(np.int64), minlength=width)
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             none = [None] * len(sets)
             yield pa.RecordBatch.from_arrays(
@@ -124,8 +165,9 @@ def order_levels(scanned: DataFrame) -> np.ndarray:
             .groupBy("cells").agg(F.sum("counts").alias("n")).toArrow())
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     counts[rows.column("cells").to_numpy()] = rows.column("n").to_numpy()
-    usual = float(np.mean(counts)) * 4 + 8
-    return np.maximum(0, np.ceil(np.log2(np.maximum(counts, 1) / usual))).astype(np.uint8)
+    mean = float(np.mean(counts))
+    unit = 4 * np.sqrt(mean) + 4  # what chance collisions of rare shingles hardly reach
+    return np.maximum(0, np.ceil(np.log2(np.maximum(counts - mean, 1) / unit))).astype(np.uint8)
 
 
 def id_bitmap(ids: DataFrame) -> np.ndarray:
@@ -176,10 +218,10 @@ def prefixes(texts: DataFrame, levels: np.ndarray, n: int, percent: int) -> Data
     shared = texts.sparkSession.sparkContext.broadcast(levels)
 
     def make():
-        lv, cut = shared.value, shingler(n)
+        lv = shared.value
 
         def fn(batch):
-            sets = [cut(t) for t in utf8(batch.column(1))]
+            sets = batch_shingles(batch.column(1), n)
             toks = [_rarest_first(s, lv)[:prefix_length(len(s), percent)] if len(s) else s for s in sets]
             lens = [len(t) for t in toks]
             if sum(lens):
@@ -196,8 +238,7 @@ def shingle_sets(texts: DataFrame, n: int) -> DataFrame:
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
     def make():
-        cut = shingler(n)
-        return lambda batch: [{"id": batch.column(0), "shingles": [cut(t).tobytes() for t in utf8(batch.column(1))]}]
+        return lambda batch: [{"id": batch.column(0), "shingles": [s.tobytes() for s in batch_shingles(batch.column(1), n)]}]
 
     return map_batches(texts, schema, make)
 
@@ -237,57 +278,153 @@ def verify(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, n: int, percen
     degree = pairs.groupBy("a").agg((F.floor(F.count("*") / CHUNK) + 1).alias("chunks"))
     dealt = materialise(pairs.join(degree, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")))
                         .select("a", "b", "chunk"), "jaccard")
-    ids = dealt.select(F.explode(F.array("a", "b")).alias("id"))
-    sets = materialise(shingle_sets(_wanted(docs, ids), n), "jaccard")
-    left = (dealt.select(F.col("a").alias("p"), F.col("chunk").alias("part")).distinct()
-            .join(sets.select(F.col("id").alias("p"), F.col("shingles").alias("probe")), "p"))
-    right = dealt.join(sets.withColumnRenamed("id", "b"), "b")
+    sets = shingle_sets(_wanted(docs, dealt.select(F.explode(F.array("a", "b")).alias("id"))), n)
+    # the probe stands in its group as the row whose id is a
+    members = dealt.select("a", "chunk", F.col("b").alias("id")).unionAll(dealt.select("a", "chunk", F.col("a").alias("id")).distinct())
     shared = pairs.sparkSession.sparkContext.broadcast(levels)
 
-    def walk(probes: pa.Table, found: pa.Table) -> pa.Table:
+    def walk(group: pa.Table) -> pa.Table:
+        a, ids = group.column("a")[0].as_py(), group.column("id").to_pylist()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in group.column("shingles").to_pylist()]
+        others = [i for i, x in enumerate(ids) if x != a]
         got = set()
-        others = [np.frombuffer(x, dtype=np.uint64) for x in found.column("shingles").to_pylist()]
-        b = found.column("b").to_pylist()
-        for raw in probes.column("probe").to_pylist():  # one, unless rows share a doc_id
-            got.update(b[i] for i in trie_matches(np.frombuffer(raw, dtype=np.uint64), others, shared.value, percent))
-        a = probes.column("p")[0].as_py() if got else None
+        for probe in (s for x, s in zip(ids, sets, strict=True) if x == a):  # one, unless rows share a doc_id
+            got.update(ids[others[i]] for i in trie_matches(probe, [sets[i] for i in others], shared.value, percent))
         return pa.table({"a": pa.array([a] * len(got), pa.int64()), "b": pa.array(sorted(got), pa.int64())})
 
-    return materialise(left.groupBy("p", "part").cogroup(right.groupBy("a", "chunk")).applyInArrow(walk, PAIR), "jaccard")
+    return materialise(members.join(sets, "id").groupBy("a", "chunk").applyInArrow(walk, PAIR), "jaccard")
 
 
-def _in_reach(x: str, y: str, percent: int):
-    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+def _reachable(x: str, y: str, shared: str, percent: int):
+    """Whether sets of sizes x and y can link that share ``shared`` shingles of their prefixes.
+    Common shingles are in both prefixes, or after the end of the prefix that ends first."""
+    rest = F.ceil(F.greatest(x, y) * percent / 100) - 1
+    need = F.ceil((F.col(x) + F.col(y)) * percent / (100 + percent))
+    return (F.least(x, y) * 100 >= F.greatest(x, y) * percent) & (F.expr(shared) + rest >= need)
 
 
 def link_heads(docs: DataFrame, heads: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
     """(node, component) of every id of ``heads`` (one column) whose text links with another's."""
-    post = materialise(prefixes(_wanted(docs, heads), levels, n, percent), "jaccard")
-    shared = (post.groupBy("token").agg(F.max("id").alias("last"), F.min(F.struct("id", "size")).alias("first"))
-              .where("last != first.id"))
-    lists = materialise(post.join(shared, "token").select(
-        "token", "id", "size", F.col("first.id").alias("head"), F.col("first.size").alias("head_size")), "jaccard")
-
-    # round 1: every member of a list against its head
-    stars = (lists.where((F.col("id") != F.col("head")) & _in_reach("size", "head_size", percent))
-             .select(F.col("head").alias("a"), F.col("id").alias("b")).distinct())
-    links = verify(materialise(stars, "jaccard"), docs, levels, n, percent)
+    # dealt by token once: the ends of every list and the join with them reuse that exchange
+    post = prefixes(_wanted(docs, heads), levels, n, percent).repartition("token")
+    ends = (post.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high"),
+                                      F.min_by("size", "id").alias("low_size"), F.max_by("size", "id").alias("high_size"))
+            .where("low != high"))
+    lists = materialise(post.join(ends, "token"), "jaccard")
+
+    # round 1: every member of a list against both its ends
+    stars = materialise(
+        lists.select("id", "size", F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("low_size").alias("sa")),
+                                                     F.struct(F.col("high").alias("a"), F.col("high_size").alias("sa")))).alias("end"))
+        .where("id != end.a").groupBy("end.a", F.col("id").alias("b"))
+        .agg(F.first("end.sa").alias("sa"), F.first("size").alias("sb"), F.count("*").alias("shared"))
+        .where(_reachable("sa", "sb", "shared", percent)).select("a", "b"), "jaccard")
+    links = verify(stars, docs, levels, n, percent)
     first = materialise(connected_components(links), "jaccard")
 
-    # round 2: lists that still join different components, all pairs across these
-    named = materialise(lists.join(first.withColumnRenamed("node", "id"), "id", "left")
-                        .select("token", "id", "size", F.coalesce("component", "id").alias("comp")), "jaccard")
-    mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-    open_ = materialise(named.join(mixed.select("token"), "token", "left_semi").distinct(), "jaccard")
-    comps = open_.select("token", "comp").distinct()
-    meet = (comps.withColumnRenamed("comp", "c1").join(comps.withColumnRenamed("comp", "c2"), "token").where("c1 < c2"))
-    one = open_.select("token", F.col("comp").alias("c1"), F.col("id").alias("a"), F.col("size").alias("sa"))
-    two = open_.select("token", F.col("comp").alias("c2"), F.col("id").alias("b"), F.col("size").alias("sb"))
-    across = (meet.join(one, ["token", "c1"]).join(two, ["token", "c2"]).where(_in_reach("sa", "sb", percent))
-              .select("a", "b").distinct())
-    tried = materialise(across.join(stars.select(F.col("a").alias("x"), F.col("b").alias("y")),
-                                    (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"), "jaccard")
-    return connected_components(links.unionAll(verify(tried, docs, levels, n, percent)))
+    # round 2: lists that still join different components, all pairs across these. Linking sizes are
+    # in one size class or in neighbours, so a list falls apart into lists of two classes each,
+    # the members of the lower class (low) meeting the upper one's only.
+    band = F.floor(F.log("size") / -math.log(percent / 100)).cast("int") if percent < 100 else F.col("size")
+    named = (lists.join(first.withColumnRenamed("node", "id"), "id", "left")
+             .select("token", "id", "size", F.coalesce("component", "id").alias("comp"), band.alias("band"))
+             .withColumn("step", F.explode(F.array(F.lit(0), F.lit(1))))
+             .select("token", (F.col("band") + F.col("step")).alias("band"), "id", "size", "comp", (F.col("step") == 1).alias("low"))
+             .repartition("token", "band"))
+    mixed = (named.groupBy("token", "band").agg(
+        F.min("comp").alias("lc"), F.max("comp").alias("hc"), F.min("low").alias("all_low"), F.count("*").alias("n"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum"), F.min("id").alias("li"), F.max("id").alias("hi"))
+        .where("lc != hc and not all_low"))
+    open_ = materialise(named.join(mixed.select("token", "band", "n", "sum", "li", "hi"), ["token", "band"]), "jaccard")
+    short = open_.where(F.col("n") <= PAIR_LIST)
+    one = short.select("token", "band", F.col("comp").alias("c1"), F.col("id").alias("a"), F.col("size").alias("sa"), F.col("low").alias("la"))
+    two = short.select("token", "band", F.col("comp").alias("c2"), F.col("id").alias("b"), F.col("size").alias("sb"), F.col("low").alias("lb"))
+    across = (one.join(two, ["token", "band"]).where("c1 < c2 and a != b and not (la and lb)")
+              .where(F.least("sa", "sb") * 100 >= F.greatest("sa", "sb") * percent)
+              .groupBy("a", "b").agg(F.first("sa").alias("sa"), F.first("sb").alias("sb"), F.count("*").alias("shared"))
+              .where(_reachable("sa", "sb", "shared", percent)).select("a", "b"))
+    more = verify(materialise(across, "jaccard"), docs, levels, n, percent)
+    # of the long lists that have the same members one stays
+    same = ["band", "n", "sum", "li", "hi"]
+    one_of = open_.where(F.col("n") > PAIR_LIST).groupBy(*same).agg(F.min("token").alias("token"))
+    long_ = materialise(open_.join(one_of.select("token", "band"), ["token", "band"], "left_semi")
+                        .select("token", "band", "id", "comp", "low", "n"), "jaccard")
+    return connected_components(links.unionAll(more).unionAll(block_links(long_, docs, levels, n, percent)))
+
+
+def block_links(lists: DataFrame, docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
+    """Links (a, b) between sets of different components that share a long list (token, band, id,
+    comp, low, n). A list is dealt into blocks of about CHUNK members; every two blocks meet
+    once, one as the trie, the other as its probes. Of the links found, a spanning forest is
+    returned."""
+    sets = shingle_sets(_wanted(docs, lists.select("id")), n)
+    held = (lists.withColumn("blocks", (F.floor(F.col("n") / CHUNK) + 1).cast("int"))
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("token", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "comp", "low"))
+    shared = lists.sparkSession.sparkContext.broadcast(levels)
+
+    def walk(group: pa.Table) -> pa.Table:
+        ids, comp = group.column("id").to_pylist(), group.column("comp").to_numpy()
+        low = group.column("low").to_numpy(zero_copy_only=False)
+        block = group.column("block").to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in group.column("shingles").to_pylist()]
+        left = np.flatnonzero(block == group.column("i")[0].as_py())
+        right = np.flatnonzero(block == group.column("j")[0].as_py())
+        out = []
+        for i, j in trie_join([sets[k] for k in left], [sets[k] for k in right], comp[left], comp[right], low[left], low[right],
+                              shared.value, percent):
+            out.append((ids[left[i]], ids[right[j]]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return materialise(held.join(sets, "id").groupBy("token", "band", "i", "j").applyInArrow(walk, PAIR), "jaccard")
+
+
+def trie_join(probes: list[np.ndarray], sets: list[np.ndarray], probe_comp: np.ndarray, set_comp: np.ndarray,
+              probe_low: np.ndarray, set_low: np.ndarray, levels: np.ndarray, percent: int):
+    """Pairs (probe, set) of different components, not both low, that link, one for every two
+    components that meet; joined components are renamed in the given arrays. One depth-first walk of the trie of
+    ``sets`` serves all probes: ``path`` holds at every node the overlaps of all probes."""
+    if not probes or not sets:
+        return
+    sizes = np.array([len(p) for p in probes])
+    tokens, at = np.unique(np.concatenate(probes), return_inverse=True)
+    who = np.repeat(np.arange(len(probes)), sizes)[np.argsort(at, kind="stable")]
+    first = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(tokens)))]).tolist()
+    ordered = [_rarest_first(s, levels)[::-1] for s in sets]
+    keys = [o.astype(">u8").tobytes() for o in ordered]
+    branch, path = np.empty(0, dtype=np.uint64), [np.zeros(len(probes), dtype=np.int64)]
+    for j in sorted(range(len(ordered)), key=keys.__getitem__):
+        o = ordered[j]
+        size = len(o)
+        need = -(-percent * (sizes + size) // (100 + percent))
+        need[(probe_comp == set_comp[j]) | (probe_low & set_low[j])] = size + 1  # never
+        k = min(size, len(branch))
+        differ = np.flatnonzero(o[:k] != branch[:k])
+        depth = int(differ[0]) if len(differ) else k
+        del path[depth + 1:]
+        spot = np.searchsorted(tokens, o[depth:])
+        spot = np.where(tokens[np.minimum(spot, len(tokens) - 1)] == o[depth:], spot, -1).tolist()
+        start = depth
+        while depth < size:
+            seen = path[-1]
+            if (depth - start) % LOOK == 0 and not (seen + np.minimum(size - depth, sizes - seen) >= need).any():
+                break
+            t = spot[depth - start]
+            if t >= 0:
+                seen = seen.copy()
+                seen[who[first[t]:first[t + 1]]] += 1
+            path.append(seen)
+            depth += 1
+        branch = o[:depth]
+        if depth == size:
+            hits = np.flatnonzero(path[-1] >= need)
+            joined, at_ = np.unique(probe_comp[hits], return_index=True)
+            for i in hits[at_].tolist():
+                yield i, j
+            if len(joined):  # one component from here on
+                probe_comp[np.isin(probe_comp, joined)] = set_comp[j]
+                set_comp[np.isin(set_comp, joined)] = set_comp[j]
 
 
 def ngram_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
