@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import mimetypes
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,21 +39,16 @@ def object_key(category, ts) -> Column:
                     short_uid(), F.lit(".parquet"))
 
 
-# File-name extension -> MIME type, as the standard Python
-# mimetypes table gives them for the extensions a frame store holds.
-MIME_TYPES = {
-    "jpg": "image/jpeg", "jpeg": "image/jpeg", "jpe": "image/jpeg", "png": "image/png",
-    "gif": "image/gif", "bmp": "image/bmp", "webp": "image/webp", "tif": "image/tiff",
-    "tiff": "image/tiff", "svg": "image/svg+xml", "ico": "image/vnd.microsoft.icon",
-    "txt": "text/plain", "html": "text/html", "htm": "text/html", "csv": "text/csv",
-    "json": "application/json", "pdf": "application/pdf", "mp4": "video/mp4",
-    "zip": "application/zip",
-}
+# Python's own table: extension -> MIME type, and the suffixes that only name an encoding
+# ("a.jpg.gz" is a JPEG image).
+_TABLE = mimetypes.MimeTypes(filenames=())
+MIME_TYPES = {k.lstrip("."): v for k, v in {**_TABLE.types_map[0], **_TABLE.types_map[1]}.items()}
+ENCODING_SUFFIX = "(?:" + "|".join(sorted(map(re.escape, _TABLE.encodings_map))) + ")$"
 DEFAULT_MIME = "application/octet-stream"
 
 
 def extension(path) -> Column:
-    return F.lower(F.regexp_extract(_c(path), r"\.([^./]+)$", 1))
+    return F.lower(F.regexp_extract(F.regexp_replace(_c(path), ENCODING_SUFFIX, ""), r"\.([^./]+)$", 1))
 
 
 def mime_type(path) -> Column:

@@ -9,7 +9,6 @@ store does, and ``{field: None}``, which means "is null".
 from __future__ import annotations
 
 import re
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column
@@ -32,34 +31,23 @@ def object_id_col(col) -> Column:
     return c.rlike(r"^[0-9a-fA-F]{24}$")
 
 
-def coerce_query(value):
-    """Convert request literals by field name.
+def coerce_query(value, field: str = ""):
+    """Request literals typed by the field they stand under.
 
-    ``_id`` strings stay strings (ids are stored as text, validity is checked);
-    ``*_datetime`` strings, or operator values under such a field, become
-    datetimes with the three request formats; failures raise ValueError.
+    Text under a ``*_datetime`` field, directly or below operators and lists, becomes a
+    datetime of the three request formats (ValueError names the field). Ids stay text;
+    ``is_object_id`` tells whether one is well-formed.
     """
+    if isinstance(value, dict):
+        return {k: coerce_query(v, field if k.startswith("$") else k) for k, v in value.items()}
     if isinstance(value, list):
-        return [coerce_query(v) for v in value]
-    if not isinstance(value, dict):
-        return value
-    out = {}
-    for key, item in value.items():
-        if key == "_id" and isinstance(item, dict) and "$in" in item:
-            out[key] = {**item, "$in": [str(i) for i in item["$in"]]}
-        elif key.endswith("_datetime") and isinstance(item, dict):
-            conv = {}
-            for op, v in item.items():
-                try:
-                    conv[op] = v if isinstance(v, datetime) else parse_request_date_literal(v)
-                except Exception as e:  # noqa: BLE001
-                    raise ValueError(f"{key} / {op} convert (str -> datetime) is failed, {e}") from e
-            out[key] = conv
-        elif key.endswith("_datetime") and isinstance(item, str):
-            out[key] = parse_request_date_literal(item)
-        else:
-            out[key] = coerce_query(item)
-    return out
+        return [coerce_query(v, field) for v in value]
+    if isinstance(value, str) and field.endswith("_datetime"):
+        try:
+            return parse_request_date_literal(value)
+        except ValueError as e:
+            raise ValueError(f"{field}: {e}") from e
+    return value
 
 
 def _field_type(schema: T.StructType | None, path: str) -> T.DataType | None:
@@ -161,29 +149,36 @@ _OPS = {">=": "$gte", "<=": "$lte", ">": "$gt", "<": "$lt", "=": "$eq", "!=": "$
 
 
 def conditions_to_query(conditions: list[str] | str) -> dict:
-    """'field<op>value' texts (AND-ed; repeats of a field combine)."""
-    if isinstance(conditions, str):
-        conditions = [conditions]
+    """'field<op>value' texts, all of which hold; a repeat of a field and operator goes
+    under ``$and``."""
     query: dict = {}
-    for text in conditions:
+    for text in [conditions] if isinstance(conditions, str) else conditions:
         m = _COND.match(text)
         if not m:
             raise ValueError(f"bad condition: {text!r}")
-        field, op, value = m.groups()
-        query.setdefault(field, {})[_OPS[op]] = value
+        field, op, value = m[1], _OPS[m[2]], m[3]
+        if op in query.get(field, {}):
+            query.setdefault("$and", []).append({field: {op: value}})
+        else:
+            query.setdefault(field, {})[op] = value
     return query
 
 
 def conditions_to_column(conditions: list[str] | str, schema: T.StructType) -> Column:
     """condition texts typed by the table schema -> Column."""
-    q = conditions_to_query(conditions)
-    typed = {}
-    for field, ops in q.items():
-        dtype = _field_type(schema, field)
-        if dtype is None:
-            raise ValueError(f"unknown field in condition: {field}")
-        typed[field] = {op: _typed_text(v, dtype) for op, v in ops.items()}
-    return query_to_column(typed, schema)
+    def typed(query: dict) -> dict:
+        out = {}
+        for field, ops in query.items():
+            if field == "$and":
+                out[field] = [typed(q) for q in ops]
+                continue
+            dtype = _field_type(schema, field)
+            if dtype is None:
+                raise ValueError(f"unknown field in condition: {field}")
+            out[field] = {op: _typed_text(v, dtype) for op, v in ops.items()}
+        return out
+
+    return query_to_column(typed(conditions_to_query(conditions)), schema)
 
 
 def _typed_text(v: str, dtype: T.DataType):

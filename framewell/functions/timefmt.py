@@ -5,17 +5,18 @@ All times are UTC: the session time zone is pinned to UTC by the callers.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accepted request date formats, tried in this order.
-REQUEST_DATE_FORMATS_PY = ["%Y-%m-%d", "%Y/%m/%d", "%Y-%m-%d %H:%M:%S"]
-# Same formats in Spark pattern letters; single letters accept one or two digits
-# as Python's strptime does ("2025-3-9").
+# The accepted request date formats; single letters accept one or two
+# digits ("2025-3-9").
 REQUEST_DATE_FORMATS = ["yyyy-M-d", "yyyy/M/d", "yyyy-M-d H:m:s"]
 
+_REQUEST_DATE = re.compile(r"(\d{4})(?:/(\d{1,2})/(\d{1,2})|-(\d{1,2})-(\d{1,2})(?: (\d{1,2}):(\d{1,2}):(\d{1,2}))?)", re.ASCII)
+
 # Fixed value: archive event time text, "%Y-%m-%dT%H:%M:%S.%fZ".
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -51,12 +52,10 @@ def parse_request_date(col) -> Column:
 
 def parse_request_date_literal(text: str) -> datetime:
     """T5 for one query literal on the driver (request coercion, not data)."""
-    for fmt in REQUEST_DATE_FORMATS_PY:
-        try:
-            return datetime.strptime(text, fmt)
-        except ValueError:
-            continue
-    raise ValueError(f"format of {text} is unknown date format")
+    m = _REQUEST_DATE.fullmatch(text)
+    if m is None:
+        raise ValueError(f"not a request date: {text!r}")
+    return datetime(*(int(part) for part in m.groups() if part and part.isdigit()))
 
 
 # Output name patterns.

@@ -53,8 +53,7 @@ def find_by_id(df: DataFrame, ids: DataFrame, key: str = "_id", id_col: str = "r
                miss_code: int = 400) -> DataFrame:
     """F6 for many ids at once: each requested id with its document or a miss.
 
-    A miss is reported (``miss_code`` and a message), never raised: 400 for
-    the collection service, 404 for the user table.
+    A miss is reported (``miss_code`` and a message), never raised.
     """
     req = ids.select(F.col(id_col)).distinct()
     docs = df.withColumn("_found", F.lit(True))
@@ -152,8 +151,7 @@ def aggregate(df: DataFrame, stages: Sequence[dict]) -> DataFrame:
     """A5: ordered stage list -> one DataFrame plan.
 
     Stages: $match, $group, $project, $addFields, $sort, $skip, $limit,
-    $unwind, $count. Group ids: '$field' -> column ``_id`` (as text, as the
-    the service stringifies it); a document of fields -> one column per field.
+    $unwind, $count. Group ids: '$field' -> column ``_id`` (as text); a document of fields -> one column per field.
     No type coercion of the stages.
     """
     out = df

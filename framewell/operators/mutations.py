@@ -203,11 +203,11 @@ def update_by_key(df: DataFrame, requests: DataFrame, key: str, order: str | Seq
                   fields: Sequence[str]) -> DataFrame:
     """M4 for many keyed $set requests: one request table, joined on the key.
 
-    The last request per key (by ``order``) wins; a null request value
-    leaves the field as it is. One shuffle join; no per-request plan.
+    Per key and field the last request that supplies the field (by ``order``) wins; a
+    null request value leaves the field as it is. One shuffle join; no per-request plan.
     """
     order_cols = [order] if isinstance(order, str) else list(order)
-    last = keep_last(requests.select(key, *dict.fromkeys([*order_cols, *fields])), key, order_cols)
+    last = keep_last_values(requests.select(key, *dict.fromkeys([*order_cols, *fields])), key, order_cols)
     req = last.select(key, *[F.col(f).alias(f"_new_{f}") for f in fields],
                       F.lit(True).alias("_req"))
     j = df.join(req, key, "left")
@@ -240,7 +240,7 @@ def delete_one(df: DataFrame, query: dict | None, key: str = "_id") -> DataFrame
     """Drop the first match (smallest key)."""
     q = coerce_query(query or {})
     picked = df.filter(F.coalesce(query_to_column(q, df.schema), F.lit(False))).select(F.min(key)).scalar()
-    return df.filter(~F.col(key).eqNullSafe(picked))
+    return df.filter(~(picked.isNotNull() & F.col(key).eqNullSafe(picked)))
 
 
 def insert_many(target: DataFrame, docs: DataFrame, key: str | None = None) -> DataFrame:
@@ -322,14 +322,15 @@ def check_constraints(df: DataFrame, key: str = "id", unique: Sequence[str] = ("
     map-side combine, so a hot value costs one row per task.
     """
     keycols = [key, *unique]
+    never_null = list(dict.fromkeys([key, *not_null]))  # a primary key is never null either
     src = df.select(*[F.col(c).cast("string").alias(f"_k_{c}") for c in keycols],
-                    *[F.col(c).isNull().alias(f"_null_{c}") for c in not_null],
+                    *[F.col(c).isNull().alias(f"_null_{c}") for c in never_null],
                     (F.col(email).isNotNull() & ~F.col(email).rlike(EMAIL_PATTERN)).alias("_bad")
                     if email else F.lit(False).alias("_bad"))
     sets = [[f"_k_{c}"] for c in keycols] + [[]]
     agg = src.groupingSets(sets, *[f"_k_{c}" for c in keycols]).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("_bad").alias("_n_bad"),
-        *[F.count_if(f"_null_{c}").alias(f"_n_null_{c}") for c in not_null],
+        *[F.count_if(f"_null_{c}").alias(f"_n_null_{c}") for c in never_null],
         F.grouping_id().alias("_gid"))
     width = len(keycols)
     items = []
@@ -344,7 +345,7 @@ def check_constraints(df: DataFrame, key: str = "id", unique: Sequence[str] = ("
             items.append(F.struct(F.lit("bad email").alias("constraint"), col.alias("value"),
                                   F.when(mine & (F.col("_n_bad") > 0), F.col("_n_bad")).alias("n")))
     total = F.col("_gid") == (1 << width) - 1
-    for c in not_null:
+    for c in never_null:
         items.append(F.struct(F.lit(f"null {c}").alias("constraint"), F.lit(None).cast("string").alias("value"),
                               F.when(total & (F.col(f"_n_null_{c}") > 0), F.col(f"_n_null_{c}")).alias("n")))
     # one pass over the aggregate: each row yields the violations it holds

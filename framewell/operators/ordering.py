@@ -15,6 +15,7 @@ partitions a window by the key alone:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +42,9 @@ def keep_last(df: DataFrame, key: str | Sequence[str] = "name",
         return df
     rest = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in rest])
-    out = df.groupBy(*keys).agg(F.max_by(packed, _order_key(order)).alias("_r"))
+    # a struct of the order columns is never null: null orders rank lowest
+    order_key = F.struct(*[F.col(c) for c in _list(order)])
+    out = df.groupBy(*keys).agg(F.max_by(packed, order_key).alias("_r"))
     return out.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
@@ -125,7 +128,14 @@ def adaptive_slices(df: DataFrame, key: Sequence[str], order: Sequence[str],
     # null-rejecting filter is inferred on it (keeps both uses of the sliced
     # frame identical, so their shuffle is shared)
     b = F.coalesce(F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")), F.lit(0)).cast("long")
-    return d.join(stats, list(key), "left").withColumn("_b", b).drop("_t", "_t0", "_w")
+    return _join_null_safe(d, stats, list(key), "left").withColumn("_b", b).drop("_t", "_t0", "_w")
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null; the keys appear once."""
+    other = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def _sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column | None,
@@ -152,7 +162,7 @@ def sequence_index(df: DataFrame, key: str | Sequence[str] = "device_id",
     counts = d.select(*keys, "_b", "_n").distinct()
     wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_off"))
-    return (d.join(offsets, [*keys, "_b"])
+    return (_join_null_safe(d, offsets, [*keys, "_b"])
              .withColumn(out, F.col("_local") + F.col("_off"))
              .drop("_b", "_local", "_off", "_n"))
 
@@ -172,7 +182,7 @@ def previous_value(df: DataFrame, value: str, key: str | Sequence[str] = "device
     last = d.select(*keys, "_b", F.col("_slice_last").alias("_last")).distinct()
     wk = Window.partitionBy(*keys).orderBy("_b")
     carry = last.select(*keys, "_b", F.lag("_last").over(wk).alias("_carry"))
-    return (d.join(carry, [*keys, "_b"])
+    return (_join_null_safe(d, carry, [*keys, "_b"])
              .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
              .drop("_b", "_first", "_lag", "_carry", "_slice_last"))
 

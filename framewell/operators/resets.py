@@ -116,15 +116,3 @@ def fps_resets(df: DataFrame, time_col: str = "event_datetime", key: str = "devi
     resets = with_entry.groupBy(key, "_b").applyInPandas(emit, f"`{key}` {kt}, _secs double, fps long")
     return resets.select(
         key, F.timestamp_micros(F.round(F.col("_secs") * 1e6).cast("long")).alias("reset_time"), "fps")
-
-
-def fps_resets_local(times: list[float], period: float = 1.0) -> list[tuple[int, int]]:
-    """The plain sequential loop on one device's sorted times (for checks):
-    (reset position, fps)."""
-    out, prev, count = [], times[0] if times else 0.0, 0
-    for i, ts in enumerate(times):
-        count += 1
-        if ts - prev > period:
-            out.append((i, count))
-            count, prev = 0, ts
-    return out

@@ -7,6 +7,8 @@ batch overwrites itself instead of appending twice.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,5 +47,7 @@ def upload_blobs(df: DataFrame, root: str, name_col: str = "name", content_col:
             if metadata_cols else F.create_map().cast("map<string,string>"))
     rows = df.select(F.expr("uuid()").alias("id"), F.col(name_col).alias("filename"),
                      F.col(content_col).alias("content"), meta.alias("metadata"))
-    rows.write.mode("append").parquet(root)
-    return df.sparkSession.read.parquet(root).select("id", "filename")
+    # every upload is a part of its own, so its rows can be told from earlier ones
+    part = f"{root.rstrip('/')}/upload={uuid.uuid4().hex}"
+    rows.write.parquet(part)
+    return df.sparkSession.read.parquet(part).select("id", "filename")

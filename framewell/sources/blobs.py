@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from framewell.operators.ordering import keep_last
+from framewell.sinks.fs import path_exists
 
 
 def list_blobs(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
@@ -25,8 +25,10 @@ def read_blobs(spark: SparkSession, root: str, glob: str = "*", recursive: bool
 
 def read_blob(spark: SparkSession, root: str, key: str) -> DataFrame:
     """S8 by key: the object at ``root/key`` (zero rows when absent)."""
-    base = root.rstrip("/")
-    return read_blobs(spark, base).filter(F.col("path").endswith("/" + key.lstrip("/")))
+    path = f"{root.rstrip('/')}/{key.lstrip('/')}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "path string, content binary")
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
 def read_blob_table(spark: SparkSession, path: str, keys: DataFrame | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ def route_changes(spark: SparkSession, raw_changes: DataFrame, out_path: str, wa
     src = filter_changes(raw_changes, watch) if watch else raw_changes
     env = change_envelope(src, as_json=True)
     w = env.writeStream.format("json").option("path", out_path)
-    return _start(w, spark, checkpoint, trigger, "changes")
+    return _start(w, spark, checkpoint, trigger, "changes", out_path)
 
 
 def cascade_stream(spark: SparkSession, envelope: DataFrame, tombstones: str, collection: str = "images",
@@ -33,7 +33,7 @@ def cascade_stream(spark: SparkSession, envelope: DataFrame, tombstones: str, co
     def process(batch: DataFrame, batch_id: int) -> None:
         gone = deleted_paths(batch, collection).distinct()
         gone.write.mode("overwrite").parquet(f"{tombstones.rstrip('/')}/_batch={batch_id}")
-    return _start(envelope.writeStream.foreachBatch(process), spark, checkpoint, trigger, "cascade")
+    return _start(envelope.writeStream.foreachBatch(process), spark, checkpoint, trigger, "cascade", tombstones)
 
 
 def live_blobs(spark: SparkSession, blobs: DataFrame, tombstones: str) -> DataFrame:
@@ -73,7 +73,7 @@ def live_latest_stream(spark: SparkSession, frames: DataFrame, out_path: str, ke
         emit.write.mode("overwrite").parquet(f"{base}/_batch={batch_id}")
         state = keep_last(prev.unionByName(newest), key, list(order))
         state.write.mode("overwrite").parquet(f"{base}/_state/v={batch_id}")
-    return _start(frames.writeStream.foreachBatch(process), spark, checkpoint, trigger, "live")
+    return _start(frames.writeStream.foreachBatch(process), spark, checkpoint, trigger, "live", out_path)
 
 
 def drop_expired(stream: DataFrame, time_col: str, ttl: str) -> DataFrame:

@@ -7,6 +7,7 @@ blobs first, then the keyed metadata merge, then the rejects.
 
 from __future__ import annotations
 
+import hashlib
 import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,7 +18,7 @@ from framewell.functions.codec import decode_json
 from framewell.functions.timefmt import parse_event_time
 from framewell.operators.ordering import keep_last
 from framewell.operators.parse import derive_metadata, split_rejects, validate_frames
-from framewell.session import scratch_path
+from framewell.session import work_dir
 from framewell.sinks.blobs import write_blobs
 from framewell.sinks.tables import upsert_table
 
@@ -26,8 +27,11 @@ METRICS_SCHEMA = ("batch_id long, n_rows long, n_good long, n_rejects long, "
                   "elapsed_s double, latency_per_row double")
 
 
-def _start(writer, spark: SparkSession, checkpoint: str | None, trigger: dict | None, kind: str):
-    writer = writer.option("checkpointLocation", checkpoint or scratch_path(spark, f"checkpoints/{kind}"))
+def _start(writer, spark: SparkSession, checkpoint: str | None, trigger: dict | None, kind: str, target: str):
+    """Start a query. Without a checkpoint its own follows from its kind and target, so a
+    restart goes on with the batch numbers that the target's markers and folders know."""
+    own = f"{work_dir(spark)}/checkpoints/{kind}-{hashlib.sha1(target.rstrip('/').encode()).hexdigest()}"
+    writer = writer.option("checkpointLocation", checkpoint or own)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
@@ -70,7 +74,7 @@ def ingest_frames(spark: SparkSession, source: DataFrame, table_path: str, blob_
                     elapsed / n if n else None)]
             spark.createDataFrame(row, METRICS_SCHEMA).write.mode("overwrite").parquet(
                 f"{metrics_path.rstrip('/')}/_batch={batch_id}")
-    return _start(source.writeStream.foreachBatch(process), spark, checkpoint, trigger, "ingest")
+    return _start(source.writeStream.foreachBatch(process), spark, checkpoint, trigger, "ingest", table_path)
 
 
 def relay_buffer(spark: SparkSession, buffer: DataFrame, out_path: str, key: str | None = None,
@@ -85,7 +89,7 @@ def relay_buffer(spark: SparkSession, buffer: DataFrame, out_path: str, key: str
     """
     from framewell.sinks.topics import to_topic_value
     w = to_topic_value(buffer, key).writeStream.format("json").option("path", out_path)
-    return _start(w, spark, checkpoint, trigger or poll_trigger(0.1), "relay")
+    return _start(w, spark, checkpoint, trigger or poll_trigger(0.1), "relay", out_path)
 
 
 ARCHIVE_BASE = T.StructType([T.StructField("event_datetime_str", T.StringType())])
@@ -120,6 +124,6 @@ def archive_stream(spark: SparkSession, source: DataFrame, model: T.StructType,
             out = keep_last(batch, dedup_key, "offset")
             out.write.mode("overwrite").partitionBy(category, "dt").parquet(
                 f"{path.rstrip('/')}/_batch={batch_id}")
-        return _start(good.writeStream.foreachBatch(process), spark, checkpoint, trigger, "archive")
+        return _start(good.writeStream.foreachBatch(process), spark, checkpoint, trigger, "archive", path)
     w = good.writeStream.format("parquet").partitionBy(category, "dt").option("path", path)
-    return _start(w, spark, checkpoint, trigger, "archive")
+    return _start(w, spark, checkpoint, trigger, "archive", path)

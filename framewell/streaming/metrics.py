@@ -27,7 +27,7 @@ def fps_stream(spark: SparkSession, frames: DataFrame, time_col: str, out_path:
         batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{out_path.rstrip('/')}/_batch={batch_id}")
     w = counts.writeStream.outputMode("update").foreachBatch(process)
-    return _start(w, spark, checkpoint, trigger, "fps")
+    return _start(w, spark, checkpoint, trigger, "fps", out_path)
 
 
 def read_window_counts(spark: SparkSession, out_path: str, key: str = "device_id") -> DataFrame:

@@ -145,90 +145,6 @@ def test_ingest_metrics_and_inference_sink(spark, tmp_path):
     assert read_keyed_table(spark, path).count() == emb.count()
 
 
-def test_binary_file_sources(spark, tmp_path):
-    from framewell.sources.blobs import list_blobs, read_blob, read_blobs
-    root = tmp_path / "objects"
-    (root / "cam1").mkdir(parents=True)
-    (root / "cam1" / "a.jpg").write_bytes(b"\xff\xd8abc")
-    (root / "cam1" / "b.txt").write_bytes(b"hello")
-    listed = {r.path.rsplit("/", 1)[1]: r.length for r in list_blobs(spark, str(root)).collect()}
-    assert listed == {"a.jpg": 5, "b.txt": 5}
-    assert len(read_blobs(spark, str(root), glob="*.jpg").collect()) == 1
-    got = read_blob(spark, str(root), "cam1/b.txt").collect()
-    assert len(got) == 1 and bytes(got[0].content) == b"hello"
-    assert read_blob(spark, str(root), "cam1/none.jpg").count() == 0
-
-
-def test_sink_helpers(spark, tmp_path):
-    from datetime import datetime
-
-    from framewell.operators.series import to_points
-    from framewell.sinks.blobs import blob_rows, upload_blobs
-    from framewell.sinks.tables import write_parquet_batches, write_points
-    from framewell.sinks.topics import append_buffer, to_topic_value
-    pts = spark.createDataFrame([("io1", 1.5, 1.0), ("io2", 2.5, 2.0)], "io_id string, value double, timestamp double")
-    write_points(to_points(pts), str(tmp_path / "points"))
-    back = spark.read.parquet(str(tmp_path / "points"))
-    assert {r.io_id for r in back.collect()} == {"io1", "io2"} and "measurement" in back.columns
-    ev = spark.createDataFrame([("a", "cat1", datetime(2025, 3, 9, 1, 2, 3))], "name string, category string, event_datetime timestamp")
-    write_parquet_batches(ev, str(tmp_path / "arch"))
-    assert spark.read.parquet(str(tmp_path / "arch")).first().dt == "2025_03_09"
-    v = to_topic_value(ev, key="name").first()
-    assert v.key == "a" and '"event_datetime":"2025-03-09 01:02:03.000000"' in v.value
-    ids = append_buffer(ev, str(tmp_path / "buf")).collect()
-    assert len(ids) == 1
-    frames = spark.createDataFrame([("cam1", "x.jpg", "YWJj"), ("cam1", "y.jpg", "*bad")],
-                                   "device_id string, name string, img string")
-    rows = blob_rows(frames).collect()
-    assert [(r.path, bytes(r.content)) for r in rows] == [("cam1/x.jpg", b"abc")]
-    up = upload_blobs(spark.createDataFrame([("f.bin", b"123", "cam1")], "name string, content binary, device_id string"),
-                      str(tmp_path / "fs"), metadata_cols=("device_id",))
-    assert up.first().filename == "f.bin"
-
-
-def test_projection_helpers_and_batch_map(spark):
-    from framewell.operators.infer import map_records
-    from framewell.operators.parse import drop_columns, rename_with_alias
-    df = spark.createDataFrame([(1, "a", 2.5)], "id long, img_bytes string, v double")
-    assert drop_columns(df, "img_bytes", "start_time").columns == ["id", "v"]
-    r = rename_with_alias(df, "id", "_id", stringify=("v",))
-    assert r.columns[0] == "_id" and r.schema["v"].dataType.simpleString() == "string"
-    doubled = map_records(df.select("id", "v"), lambda p: p.assign(v=p.v * 2), "id long, v double")
-    assert doubled.first().v == 5.0
-
-
-def test_drop_expired_stream(spark, tmp_path):
-    from datetime import datetime, timedelta, timezone
-
-    from framewell.streaming.changes import drop_expired
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
-    src_dir = str(tmp_path / "in")
-    spark.createDataFrame([(1, now), (2, now - timedelta(days=3))], "id int, ts timestamp").write.json(src_dir)
-    s = spark.readStream.schema("id int, ts timestamp").json(src_dir)
-    q = (drop_expired(s, "ts", "1 day").writeStream.format("parquet").option("path", str(tmp_path / "out"))
-         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert [r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
-
-
-def test_ingest_metrics_and_inference_sink(spark):
-    from framewell.operators.infer import infer_to_table
-    from framewell.plans import QUERIES
-    from framewell.sinks.tables import read_keyed_table
-    QUERIES["stream_upsert"](spark, "/root/testdata/sf0.001").count()
-    base = scratch_path(spark, "stream_upsert")
-    parent = base.rsplit("/", 1)[0]
-    import glob
-    metrics = [p for p in glob.glob(parent + "/*/metrics")]
-    assert metrics
-    m = spark.read.parquet(metrics[-1]).agg(F.sum("n_rows"), F.sum("n_good")).first()
-    assert m[0] == 1000 and m[1] == 1000 - 60
-    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").withColumn("seq", F.lit(1))
-    path = scratch_path(spark, "infer") + "/t"
-    infer_to_table(emb, "embedding", ["label"], "vec_id", path, "seq", batch_id=0)
-    assert read_keyed_table(spark, path).count() == emb.count()
-
-
 def test_upsert_table_time_partitions_rewrite_only_touched(spark):
     import os
     path = scratch_path(spark, "test_upsert_parts") + "/t"

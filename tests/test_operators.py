@@ -231,7 +231,7 @@ def test_hot_key_is_split_into_small_slices(spark):
 
 
 def test_fps_resets_match_sequential_loop(spark):
-    from framewell.operators.resets import fps_resets, fps_resets_local
+    from framewell.operators.resets import fps_resets
     rnd = random.Random(11)
     t0 = datetime(2024, 1, 1)
     rows = []
@@ -247,7 +247,7 @@ def test_fps_resets_match_sequential_loop(spark):
     for dev in ("hot", "b", "c"):
         ts = sorted(r[2] for r in rows if r[0] == dev)
         secs = [(x - datetime(1970, 1, 1)).total_seconds() for x in ts]
-        exp += [(dev, ts[i], c) for i, c in fps_resets_local(secs)]
+        exp += [(dev, ts[i], c) for i, c in _resets_one_by_one(secs)]
     assert got == sorted(exp) and whole == sorted(exp)
 
 
@@ -271,3 +271,14 @@ def test_partial_records_keep_untouched_fields(spark):
     whole = {r.name: (r.width, r.height)
              for r in mutations.merge_by_key(target, batch, "name", "offset").collect()}
     assert whole["n1"] == (None, "h6")   # whole-row mode: the last message replaces the row
+
+
+def _resets_one_by_one(times):
+    """(position, frames since the reset before) of every frame more than a second after the
+    last reset; the first frame counts as one."""
+    found, start, since = [], 0, times[0] if times else None
+    for at, t in enumerate(times):
+        if t - since > 1.0:
+            found.append((at, at + 1 - start))
+            start, since = at + 1, t
+    return found

@@ -3,7 +3,7 @@
 import pytest
 
 from framewell.plans import ORACLES, QUERIES
-from framewell.plans.oracle_check import compare, duck
+from oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
 
