@@ -24,6 +24,7 @@ from framewell.llm.common import materialise
 DOMAINS = ("high", "low", "toxic")
 TARGETS = {"high": 0.80, "low": 0.18, "toxic": 0.02}
 BUCKETS = 4096
+SHRINK = 100.0  # words that the distribution of all domains weighs in each
 MAX_LABELLED = 20_000
 STEPS, SPAN = 60, 10
 TOLERANCE = 1e-4
@@ -54,7 +55,9 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains=DOMAINS, most:
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     full = materialise(every.join(counts, "bucket", "left").na.fill(0), "mixing")
     total = full.agg(*(F.sum(d).alias(d) for d in domains)).first()
-    model = materialise(full.select("bucket", *(F.log((F.col(d) + 0.5) / (total[d] + 0.5 * BUCKETS)).alias(d) for d in domains)), "mixing")
+    # every domain shrinks towards the words of all, so a small one isn't at a disadvantage
+    shared = (sum((F.col(d) for d in domains), F.lit(0.5))) / (sum(total[d] for d in domains) + 0.5 * BUCKETS)
+    model = materialise(full.select("bucket", *(F.log((F.col(d) + SHRINK * shared) / (total[d] + SHRINK)).alias(d) for d in domains)), "mixing")
     size = {r.domain: r.n for r in chosen.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     every_doc = sum(size.values()) + len(domains)
     return model, [(size.get(d, 0) + 1) / every_doc for d in domains]

@@ -292,7 +292,7 @@ def verify(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, n: int, percen
             got.update(ids[others[i]] for i in trie_matches(probe, [sets[i] for i in others], shared.value, percent))
         return pa.table({"a": pa.array([a] * len(got), pa.int64()), "b": pa.array(sorted(got), pa.int64())})
 
-    return materialise(members.join(sets, "id").groupBy("a", "chunk").applyInArrow(walk, PAIR), "jaccard")
+    return materialise(members.hint("merge").join(sets, "id").groupBy("a", "chunk").applyInArrow(walk, PAIR), "jaccard")
 
 
 def _reachable(x: str, y: str, shared: str, percent: int):
@@ -377,7 +377,7 @@ def block_links(lists: DataFrame, docs: DataFrame, levels: np.ndarray, n: int, p
             out.append((ids[left[i]], ids[right[j]]))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    return materialise(held.join(sets, "id").groupBy("token", "band", "i", "j").applyInArrow(walk, PAIR), "jaccard")
+    return materialise(held.hint("merge").join(sets, "id").groupBy("token", "band", "i", "j").applyInArrow(walk, PAIR), "jaccard")
 
 
 def trie_join(probes: list[np.ndarray], sets: list[np.ndarray], probe_comp: np.ndarray, set_comp: np.ndarray,
@@ -447,8 +447,11 @@ def keep_first(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame
     empty texts stay as they are."""
     classes = materialise(ngram_classes(docs, n, percent), "jaccard")
     gone = classes.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # the texts are dealt once, by a merge join at every size
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
     twice = (classes.where("doc_id = component_id and digest is not null")
              .groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if twice.isEmpty():
+        return kept
     return (kept.join(twice, "doc_id", "left_anti")
             .unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns))

@@ -38,7 +38,8 @@ _NUMBER = re.compile(
     r"|(?P<iso>(?<![0-9])[0-9]{4}(?P<s1>[-/.])[0-9]{2}(?P=s1)[0-9]{2}(?![0-9]))"
     r"|(?P<dmy>(?<![0-9])[0-9]{2}(?P<s2>[-/.])[0-9]{2}(?P=s2)[0-9]{4}(?![0-9]))"
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
-    r"|(?P<phone>\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
+    r"|(?P<phone>\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
     r"|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
     r"|(?<![0-9.-])[0-9]{3}(?P<s3>[ .-])[0-9]{3}(?P=s3)[0-9]{4}(?![0-9]))"
     r"|(?P<card>(?<![0-9])(?:[0-9]{4}(?P<s4>[ -])[0-9]{4}(?P=s4)[0-9]{4}(?P=s4)[0-9]{1,4}(?:(?P=s4)[0-9]{1,3})?"
@@ -207,8 +208,7 @@ class Pseudonyms:
         found += [(m.start(), m.end(), "iban", m[0]) for m in _IBAN.finditer(text)]
         for run in _RUN.finditer(text):
             if run.end() - run.start() >= 7:
-                found += [(m.start(), m.end(), m.lastgroup if m.lastgroup[0] != "s" or m.lastgroup == "ssn" else _kind(m), m[0])
-                          for m in _NUMBER.finditer(text, run.start(), run.end())]
+                found += self._numbers(text, run.start(), run.end())
         out: list[tuple[int, int, str, str]] = []
         for start, end, kind, value in sorted(found, key=lambda f: (f[0], -f[1])):
             if out and start < out[-1][1]:
@@ -218,6 +218,26 @@ class Pseudonyms:
                 out.append((start, end, kind, new))
         return out
 
+    def _numbers(self, text: str, at: int, end: int):
+        """The valid values in a run of digits and separators. A match that isn't valid is tried
+        without its last groups, then the search goes on after its first group."""
+        while m := _NUMBER.search(text, at, end):
+            start, stop, valid = m.start(), m.end(), None
+            while stop - start >= 7:
+                valid = _NUMBER.match(text, start, stop)
+                if valid and self.value(_kind(valid), valid[0]) is not None:
+                    break
+                valid = None
+                while stop > start and text[stop - 1] in _DIGIT:
+                    stop -= 1
+                while stop > start and text[stop - 1] not in _DIGIT:
+                    stop -= 1
+            if valid:
+                yield start, valid.end(), _kind(valid), valid[0]
+                at = valid.end()
+            else:
+                at = re.compile(r"[^0-9]*[0-9]+").match(text, start, end).end()
+
     def apply(self, text: str) -> tuple[str, list[tuple[int, int, str, str]]]:
         spans = self.spans(text)
         out, at = [], 0
