@@ -22,8 +22,7 @@ from framewell.operators.ordering import keep_last, keep_last_values
 def _typed(v, dtype: T.DataType) -> Column:
     if isinstance(v, Column):
         return v.cast(dtype)
-    if isinstance(dtype, T.StructType):
-        v = v or {}
+    if isinstance(dtype, T.StructType) and v is not None:
         return F.struct(*[_typed(v.get(f.name), f.dataType).alias(f.name) for f in dtype.fields])
     if isinstance(dtype, T.ArrayType):
         if v is None:
@@ -39,14 +38,24 @@ def _field_type(schema: T.StructType, path: Sequence[str]) -> T.DataType:
     return dtype
 
 
-def _set_path(col: Column, schema: T.DataType, path: list[str], value_fn) -> Column:
-    """Replace the value at ``path`` inside ``col`` by ``value_fn(old)``."""
+def _document(v) -> Column:
+    """A literal; dictionaries become structs."""
+    if isinstance(v, dict):
+        return F.struct(*[_document(x).alias(k) for k, x in v.items()])
+    return v if isinstance(v, Column) else F.lit(v)
+
+
+def _set_path(col: Column, schema: T.DataType, path: list[str], value_fn, create: Column | None = None) -> Column:
+    """Replace the value at ``path`` inside ``col`` by ``value_fn(old)``; where ``create`` holds, parents
+    that are null become documents first."""
     if not path:
         return value_fn(col)
+    if create is not None:
+        col = F.when(col.isNull() & create, _typed({}, schema)).otherwise(col)
     head, rest = path[0], path[1:]
     sub = col.getField(head)
     sub_type = schema[head].dataType  # type: ignore[index]
-    return col.withField(head, _set_path(sub, sub_type, rest, value_fn))
+    return col.withField(head, _set_path(sub, sub_type, rest, value_fn, create))
 
 
 def _element_filter(x: Column, spec: dict, var: str, elem_type: T.DataType) -> Column:
@@ -67,6 +76,7 @@ def _apply_ops(df: DataFrame, match: Column, set_: dict | None, unset: dict | No
     schema = df.schema
     new: dict[str, Column] = {c: F.col(c) for c in df.columns}
     touched: list[str] = []
+    absent: dict = {}  # values below top fields that the table lacks
 
     def touch(top: str):
         if top not in touched:
@@ -94,12 +104,17 @@ def _apply_ops(df: DataFrame, match: Column, set_: dict | None, unset: dict | No
             continue
         top = parts[0]
         if top not in new:
-            new[top] = F.when(match, F.lit(v))
-            touch(top)
+            spot = absent
+            for p in parts[:-1]:
+                spot = spot.setdefault(p, {})
+            spot[parts[-1]] = v
             continue
         dtype = _field_type(schema, parts)
         new[top] = _set_path(new[top], schema[top].dataType, parts[1:],
-                             lambda old, dtype=dtype, v=v: F.when(match, _typed(v, dtype)).otherwise(old))
+                             lambda old, dtype=dtype, v=v: F.when(match, _typed(v, dtype)).otherwise(old), match)
+        touch(top)
+    for top, v in absent.items():
+        new[top] = F.when(match, _document(v))
         touch(top)
     for path in (unset or {}):
         parts = path.split(".")
@@ -124,7 +139,7 @@ def _apply_ops(df: DataFrame, match: Column, set_: dict | None, unset: dict | No
         def app(old, arr_type=arr_type, elem=elem):
             grown = F.array_append(F.coalesce(old, F.array().cast(arr_type)), elem)
             return F.when(match, grown).otherwise(old)
-        new[top] = _set_path(new[top], schema[top].dataType, parts[1:], app)
+        new[top] = _set_path(new[top], schema[top].dataType, parts[1:], app, match)
         touch(top)
     return df.select(*[c.alias(k) for k, c in new.items()]), touched
 
@@ -146,8 +161,9 @@ def update(df: DataFrame, query: dict | None, set: dict | None = None,  # noqa:
     """M3/M5-M9: apply one update request; adds ``_modified`` (bool).
 
     ``one`` restricts the match to the first matching key (M3); with
-    ``upsert`` a document built from the query's equality fields and the
-    ``$set`` values is added when nothing matched (M9).
+    ``upsert`` a document built from the query's equality fields, to which the
+    request is applied, is added when nothing matched (M9); without a key of its own it gets
+    a random one, which needs a text key.
     """
     q = coerce_query(query or {}) if coerce else (query or {})
     set_ = coerce_query(set) if (coerce and set) else set
@@ -165,19 +181,15 @@ def update(df: DataFrame, query: dict | None, set: dict | None = None,  # noqa:
                          (F.col("_match") & _changed(touched, {*df.columns})).alias("_modified"))
     if upsert:
         eq = {k: v for k, v in q.items() if not k.startswith("$") and not isinstance(v, dict)}
-        doc = {**eq, **(set_ or {})}
-        cols = []
-        for c in out.columns:
-            if c == "_modified":
-                cols.append(F.lit(False).alias(c))
-            elif c in doc:
-                cols.append(_typed(doc[c], out.schema[c].dataType).alias(c))
-            elif c == key:
-                cols.append(F.expr("uuid()").cast(out.schema[c].dataType).alias(c))
-            else:
-                cols.append(F.lit(None).cast(out.schema[c].dataType).alias(c))
+        if key in df.columns and key not in eq and key not in (set_ or {}) and not isinstance(df.schema[key].dataType, T.StringType):
+            raise ValueError(f"an upsert needs a value of {key!r}")
+        blank = df.sparkSession.range(1).select(*[_typed(eq.get(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
+        below = {k: v for k, v in eq.items() if "." in k}
+        doc, _ = _apply_ops(blank, F.lit(True), {**below, **(set_ or {})}, unset, push, array_filter)
+        if key in df.columns and key not in eq and key not in (set_ or {}):
+            doc = doc.withColumn(key, F.expr("uuid()"))
         none_matched = df.filter(match).select(F.count(F.lit(1))).scalar() == 0
-        new_doc = df.sparkSession.range(1).select(*cols).filter(none_matched)
+        new_doc = doc.withColumn("_modified", F.lit(False)).filter(none_matched)
         out = out.unionByName(new_doc)
     return out
 

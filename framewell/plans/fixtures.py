@@ -1,14 +1,12 @@
 """Inputs derived from the driver's tables (see FIXTURES.md, part B).
 
 Each derivation has a Spark form (here) and the same rule in SQL
-(``framewell.plans.oracle``). Derivation rules give every row of the source a
+(``framewell.plans.sqlparts``). Derivation rules give every row of the source a
 role; nothing is sampled or capped.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,27 +18,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; see ``ensure_parallel_scan``."""
-    return ensure_parallel_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def ensure_parallel_scan(df: DataFrame, min_rows_hint: int = 0) -> DataFrame:
-    """Parallelism floor for scans with fewer splits than cores.
-
-    A file with one row group is one scan task, so all per-row work before
-    the first shuffle would run on one core. Only then is the scan spread
-    round-robin over the cores; a large table already has at least as many
-    splits as cores and is returned untouched (no extra shuffle at scale).
-    """
-    try:
-        sc = df.sparkSession.sparkContext
-        if sc.master.startswith("local") or os.environ.get("FRAMEWELL_SCAN_FLOOR"):
-            cores = sc.defaultParallelism
-            if df.rdd.getNumPartitions() < cores:
-                return df.repartition(cores)
-    except Exception:  # noqa: BLE001 - e.g. a remote session: keep the plain scan
-        pass
-    return df
+    """Read one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,8 +61,8 @@ WHERE path NOT IN (SELECT before_img_path FROM envelope
                      AND before_img_path IS NOT NULL AND before_img_path <> '')""")
 def q_cascade_delete(spark, d):
     """Blobs left after deleted documents release theirs."""
-    out = ch.cascade_delete(fx.blobs(spark, d), _envelope(spark, d))
-    return out.select("path", F.octet_length("content").cast("bigint").alias("n_bytes"))
+    sizes = fx.blobs(spark, d).select("path", F.octet_length("content").cast("bigint").alias("n_bytes"))
+    return ch.cascade_delete(sizes, _envelope(spark, d))
 
 
 @query("orphan_blobs", with_(IMAGES, BLOBS) + """

@@ -69,12 +69,24 @@ def q_stream_archive(spark, d):
                       as_ntz("event_datetime").alias("event_datetime"), F.col("dt").cast("string").alias("dt"))
 
 
+@query("stream_archive_rejects", """
+SELECT event_id AS offset FROM events WHERE event_id % 40 = 0""")
+def q_stream_archive_rejects(spark, d):
+    """The archive topic's messages without a valid time."""
+    base = scratch_path(spark, "stream_archive_rejects")
+    write_topic_files(fx.archive_events(spark, d), f"{base}/topic", n_files=4)
+    src = read_topic_files(spark, f"{base}/topic", max_files_per_trigger=2)
+    archive_stream(spark, src, ARCHIVE_MODEL, f"{base}/archive", trigger=_ONCE,
+                   rejects_path=f"{base}/rejects").awaitTermination()
+    return spark.read.parquet(f"{base}/rejects").select("offset")
+
+
 @query("stream_fps", with_(META) + """
 SELECT device_id, date_trunc('second', event_datetime) AS second, count(*) AS fps
 FROM meta WHERE event_id % 50 NOT IN (0, 2, 3)
 GROUP BY device_id, date_trunc('second', event_datetime)""")
 def q_stream_fps(spark, d):
-    """T-W2 stream form: per-second frame counts with watermark-bounded state."""
+    """T-W2 stream form: per-second frame counts, added up over micro-batches."""
     base = scratch_path(spark, "stream_fps")
     write_topic_files(fx.topic(spark, d), f"{base}/topic", n_files=4)
     src = read_topic_files(spark, f"{base}/topic", max_files_per_trigger=2)
@@ -136,8 +148,8 @@ def q_stream_cascade(spark, d):
     env = env.withColumn("before_doc", F.from_json("before_doc", "img_path string"))
     cascade_stream(spark, env, f"{base}/tombstones", trigger=_ONCE,
                    checkpoint=f"{base}/ck_cascade").awaitTermination()
-    live = live_blobs(spark, fx.blobs(spark, d), f"{base}/tombstones")
-    return live.select("path", F.octet_length("content").cast("bigint").alias("n_bytes"))
+    sizes = fx.blobs(spark, d).select("path", F.octet_length("content").cast("bigint").alias("n_bytes"))
+    return live_blobs(spark, sizes, f"{base}/tombstones")
 
 
 @query("stream_collect", with_(META) + f"""

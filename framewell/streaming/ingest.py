@@ -95,11 +95,12 @@ def relay_buffer(spark: SparkSession, buffer: DataFrame, out_path: str, key: str
 ARCHIVE_BASE = T.StructType([T.StructField("event_datetime_str", T.StringType())])
 
 
-def parse_archive_messages(source: DataFrame, model: T.StructType) -> DataFrame:
+def parse_archive_messages(source: DataFrame, model: T.StructType, keep_raw: bool = False) -> DataFrame:
     """JSON -> model fields; the time text is popped and parsed.
-    Adds ``valid`` (time parsed and the message was JSON)."""
+    Adds ``valid`` (time parsed and the message was JSON); with ``keep_raw`` the text stays as ``_raw``."""
     schema = T.StructType(ARCHIVE_BASE.fields + [f for f in model.fields if f.name != "event_datetime_str"])
-    m = source.select("offset", decode_json("value", schema).alias("m")).select("offset", "m.*")
+    raw = [F.col("value").cast("string").alias("_raw")] if keep_raw else []
+    m = source.select("offset", *raw, decode_json("value", schema).alias("m")).select("offset", *(["_raw"] if raw else []), "m.*")
     t = parse_event_time("event_datetime_str")
     return (m.withColumn("event_datetime", t).drop("event_datetime_str")
              .withColumn("valid", F.col("event_datetime").isNotNull()))
@@ -107,23 +108,29 @@ def parse_archive_messages(source: DataFrame, model: T.StructType) -> DataFrame:
 
 def archive_stream(spark: SparkSession, source: DataFrame, model: T.StructType, path: str,
                    category: str = "category", checkpoint: str | None = None,
-                   trigger: dict | None = None, dedup_key: str | None = None):
-    """K3: valid messages to Parquet under category=/dt=YYYY_MM_DD/.
+                   trigger: dict | None = None, dedup_key: str | None = None, rejects_path: str | None = None):
+    """K3: valid messages to Parquet under category=/dt=YYYY_MM_DD/, the others (offset, value) to
+    ``rejects_path`` (by default beside the archive).
 
     The date folder comes from the event time, so a rerun lands in the same
     folders (processing time would not). With ``dedup_key`` each
     micro-batch keeps the last arrival per key (W1).
     """
-    parsed = parse_archive_messages(source, model)
-    good = parsed.filter("valid").drop("valid").withColumn(
-        "dt", F.date_format("event_datetime", "yyyy_MM_dd"))
-    if dedup_key:
-        def process(batch: DataFrame, batch_id: int) -> None:
-            if batch.isEmpty():
-                return
-            out = keep_last(batch, dedup_key, "offset")
-            out.write.mode("overwrite").partitionBy(category, "dt").parquet(
-                f"{path.rstrip('/')}/_batch={batch_id}")
-        return _start(good.writeStream.foreachBatch(process), spark, checkpoint, trigger, "archive", path)
-    w = good.writeStream.format("parquet").partitionBy(category, "dt").option("path", path)
-    return _start(w, spark, checkpoint, trigger, "archive", path)
+    base = path.rstrip("/")
+    rejects = (rejects_path or f"{base}_rejects").rstrip("/")
+    parsed = parse_archive_messages(source, model, keep_raw=True)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # F10
+            return
+        batch = batch.persist()
+        try:
+            good = batch.filter("valid").drop("valid", "_raw").withColumn("dt", F.date_format("event_datetime", "yyyy_MM_dd"))
+            if dedup_key:
+                good = keep_last(good, dedup_key, "offset")
+            good.write.mode("overwrite").partitionBy(category, "dt").parquet(f"{base}/_batch={batch_id}")
+            (batch.filter("not valid").select("offset", F.col("_raw").alias("value"))
+             .write.mode("overwrite").parquet(f"{rejects}/_batch={batch_id}"))
+        finally:
+            batch.unpersist()
+    return _start(parsed.writeStream.foreachBatch(process), spark, checkpoint, trigger, "archive", path)

@@ -1,36 +1,29 @@
-"""Streaming metrics (T-W2 stream form, A7) with bounded state."""
+"""Streaming metrics (T-W2 stream form, A7) without state."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewell.operators.ordering import keep_last
 from framewell.streaming.ingest import _start
 
 
 def fps_stream(spark: SparkSession, frames: DataFrame, time_col: str, out_path: str,
-               key: str = "device_id", watermark: str = "10 seconds",
-               checkpoint: str | None = None, trigger: dict | None = None):
-    """T-W2: frames per device per second, state bounded by a watermark.
+               key: str = "device_id", checkpoint: str | None = None, trigger: dict | None = None):
+    """T-W2: frames per device per second.
 
-    Update mode: every micro-batch writes the windows it changed into its own
-    folder, so closed and still-open windows are both visible;
-    ``read_window_counts`` keeps the newest count per window.
+    Every micro-batch writes its own counts into its own folder (a replay overwrites it);
+    ``read_window_counts`` adds them up. Counts are additive, so no frame is too late and no
+    state or watermark is kept.
     """
-    counts = (frames.withWatermark(time_col, watermark)
-              .groupBy(F.col(key), F.window(F.col(time_col), "1 second").alias("w"))
-              .agg(F.count(F.lit(1)).alias("fps"))
-              .select(key, F.col("w.start").alias("second"), "fps"))
-
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{out_path.rstrip('/')}/_batch={batch_id}")
-    w = counts.writeStream.outputMode("update").foreachBatch(process)
-    return _start(w, spark, checkpoint, trigger, "fps", out_path)
+        if batch.isEmpty():  # F10
+            return
+        counts = batch.groupBy(key, F.date_trunc("second", time_col).alias("second")).agg(F.count("*").alias("fps"))
+        counts.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/_batch={batch_id}")
+    return _start(frames.writeStream.foreachBatch(process), spark, checkpoint, trigger, "fps", out_path)
 
 
 def read_window_counts(spark: SparkSession, out_path: str, key: str = "device_id") -> DataFrame:
-    """Latest count of each (key, second) written by ``fps_stream``."""
-    rows = spark.read.parquet(out_path).drop("_batch")
-    return keep_last(rows, [key, "second"], "_batch_id").drop("_batch_id")
+    """Count of each (key, second) over all batches written by ``fps_stream``."""
+    return spark.read.parquet(out_path).groupBy(key, "second").agg(F.sum("fps").alias("fps"))

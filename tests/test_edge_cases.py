@@ -80,3 +80,22 @@ def test_blob_by_key_and_uploads_return_their_own(spark, tmp_path):
     upload_blobs(one, root)
     assert upload_blobs(one.withColumn("name", F.lit("g")), root).select("filename").collect() == [("g",)]
     assert spark.read.parquet(root).count() == 2
+
+
+def test_upserted_document_has_pushed_and_dotted_fields(spark):
+    df = spark.createDataFrame([("a", None, None)], "_id string, tags array<string>, meta struct<a:int,b:string>")
+    out = mutations.update(df, {"_id": "n"}, set={"meta.a": 1}, push={"tags": "t"}, upsert=True)
+    assert {r._id: (r.tags, r.meta and tuple(r.meta), r._modified) for r in out.collect()} == {
+        "a": (None, None, False), "n": (["t"], (1, None), False)}
+
+
+def test_set_below_a_missing_parent_makes_documents(spark):
+    df = spark.createDataFrame([("a", None), ("b", None)], "_id string, meta struct<a:int,b:string>")
+    out = mutations.update(df, {"_id": "a"}, set={"meta.a": 1, "new.x.y": 2, "new.z": 3})
+    got = {r._id: (r.meta and tuple(r.meta), r.new and (r.new.x.y, r.new.z)) for r in out.collect()}
+    assert got == {"a": ((1, None), (2, 3)), "b": (None, None)}
+
+
+def test_upsert_without_a_text_key_needs_one(spark):
+    with pytest.raises(ValueError, match="_id"):
+        mutations.update(spark.createDataFrame([(1, 2)], "_id int, v int"), {"v": 3}, upsert=True)
