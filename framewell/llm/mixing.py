@@ -147,4 +147,4 @@ def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = T
                                 F.col("rate").alias("mix_rate"), F.col("copies").alias("mix_copies")), "mixing")
     plain = docs.drop("mix_rate", "mix_copies")
     same = plain["doc_id"].eqNullSafe(rated["_mix_id"]) & F.xxhash64(plain["text"]).eqNullSafe(rated["_mix_digest"])
-    return plain.join(rated, same).where("mix_copies > 0").drop("_mix_id", "_mix_digest")
+    return plain.join(rated.hint("merge"), same).where("mix_copies > 0").drop("_mix_id", "_mix_digest")
