@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from framewell.llm.common import connected_components, map_batches, materialise
+from framewell.llm.common import connected_components, fresh, map_batches, materialise
 
 N, PERCENT = 5, 80
 SKETCH_BITS = 18  # counters of the ordering sketch: 2^18, whatever the input
@@ -170,9 +170,9 @@ def order_levels(scanned: DataFrame) -> np.ndarray:
     return np.maximum(0, np.ceil(np.log2(np.maximum(counts - mean, 1) / unit))).astype(np.uint8)
 
 
-def id_bitmap(ids: DataFrame) -> np.ndarray:
+def id_bitmap(ids: DataFrame, *salt: int) -> np.ndarray:
     """A bitmap of 2^BITMAP_BITS cells over the hashes of the one column of ``ids``."""
-    cell = F.shiftrightunsigned(F.xxhash64(F.col(ids.columns[0])), 64 - BITMAP_BITS)
+    cell = F.shiftrightunsigned(F.xxhash64(F.col(ids.columns[0]), *map(F.lit, salt)), 64 - BITMAP_BITS)
     rows = (ids.select(cell.alias("cell")).where("cell is not null")
             .select(F.shiftright("cell", 6).alias("word"), F.expr("shiftleft(1L, cast(cell & 63 as int))").alias("bit"))
             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
@@ -181,20 +181,22 @@ def id_bitmap(ids: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
+def _is_set(bitmap: np.ndarray, hashes: pa.Array) -> pa.Array:
+    cell = hashes.to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
+    return pa.array((bitmap[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1)
+
+
 def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, text, keep) of the rows of ``docs``; keep is false where the id surely isn't in ``ids``.
     The text of such rows is nulled before it reaches Python."""
     bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
     arrow = to_arrow_schema(schema)
-    shift = np.uint64(64 - BITMAP_BITS)
 
     def run(batches):
         words = bits.value
         for batch in batches:
-            cell = batch.column(2).to_numpy().view(np.uint64) >> shift
-            keep = (words[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
-            keep = pa.array(keep)
+            keep = _is_set(words, batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()).filter(keep), batch.column(1).filter(keep)], schema=arrow)
 
     return docs.where("doc_id is not null and text is not null").select(
@@ -442,13 +444,43 @@ def ngram_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFr
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def _in_bitmaps(docs: DataFrame, names: list[str], bitmaps: list[np.ndarray]) -> DataFrame:
+    """``docs`` with a boolean column for each bitmap: whether the doc_id's cell is set. The k-th bitmap has salt k."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
+    out = T.StructType([*docs.schema.fields, *(T.StructField(x, T.BooleanType()) for x in names)])
+    arrow, n = to_arrow_schema(out), len(docs.columns)
+
+    def run(batches):
+        for batch in batches:
+            cols = [c.cast(f.type) for c, f in zip(batch.columns[:n], arrow, strict=False)]
+            yield pa.RecordBatch.from_arrays(cols + [_is_set(b, batch.column(n + k)) for k, b in enumerate(shared.value)], schema=arrow)
+
+    hashes = [F.xxhash64(F.col("doc_id").cast("long"), F.lit(k)).alias(fresh("hash")) for k in range(len(bitmaps))]
+    return docs.select("*", *hashes).mapInArrow(run, out)
+
+
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id isn't in ``gone`` (distinct long doc_id). Two bitmaps of fixed size
+    settle most rows where they stand: an id in no cell of ``gone`` stays, one in such a cell goes unless
+    it is also in a cell of the staying ids that share one. The rest, up to all rows where the
+    bitmaps are full, is settled by a merge join. Rows without a doc_id stay."""
+    one, two = fresh("gone"), fresh("stays")
+    first = id_bitmap(gone, 0)
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    near = _in_bitmaps(ids, [one], [first]).where(one).select("doc_id")
+    second = id_bitmap(near.join(gone.hint("merge"), "doc_id", "left_anti"), 1)
+    marked = _in_bitmaps(docs, [one, two], [first, second])
+    unclear = marked.where(F.col("doc_id").isNotNull() & F.col(one) & F.col(two)).select(docs.columns)
+    return (marked.where(F.col("doc_id").isNull() | ~F.col(one)).select(docs.columns)
+            .unionAll(unclear.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)))
+
+
 def keep_first(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row per component (its smallest doc_id); rows without a doc_id and
     empty texts stay as they are."""
     classes = materialise(ngram_classes(docs, n, percent), "jaccard")
     gone = classes.where("doc_id != component_id").select("doc_id").distinct()
-    # the texts are dealt once, by a merge join at every size
-    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    kept = without_ids(docs, gone)
     twice = (classes.where("doc_id = component_id and digest is not null")
              .groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
     if twice.isEmpty():
