@@ -7,7 +7,10 @@ verified once. Verification is the cosine in double precision.
 
 Pivots are fitted on a bounded sample: about the square root of the number of vectors, at
 most ``MAX_PIVOTS``, drawn by hash from four times as many and kept apart, so that a large
-group of near copies does not supply them all. Every vector is indexed. Equal vectors of
+group of near copies does not supply them all. Where fewer than ``nearest`` are apart (all
+vectors of a length in a narrow cone, or one group of near copies), sampled vectors fill up to that many:
+then every vector names every pivot and all pairs of a label are verified, which is exact, and
+quadratic in blocks. With fewer vectors than ``shared`` pivots, all pivots count. Every vector is indexed. Equal vectors of
 one label are one class before the search; lists of any length are dealt into blocks of
 about ``BLOCK`` classes, every two blocks meet once, and a block pair returns counts and one
 edge a class, never pairs.
@@ -44,8 +47,9 @@ def usable(vec: str = "embedding", label: str = "label"):
             & F.coalesce(finite & F.exists(vec, lambda x: x != 0), F.lit(False)))
 
 
-def choose_pivots(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Unit pivots for every vector length: at most MAX_PIVOTS from at most four times as many rows."""
+def choose_pivots(classes: DataFrame, nearest: int = NEAREST) -> dict[int, np.ndarray]:
+    """Unit pivots for every vector length: at most MAX_PIVOTS from at most four times as many rows, and
+    at least ``nearest`` if there are as many rows."""
     out = {}
     for dim, n in [(r.dim, r.n) for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()]:
         want = min(MAX_PIVOTS, max(MIN_PIVOTS, 2 ** round(math.log2(max(1.0, math.sqrt(n))))))
@@ -60,6 +64,8 @@ def choose_pivots(classes: DataFrame) -> dict[int, np.ndarray]:
         for i in range(1, len(sample)):
             if len(kept) < want and (sample[kept] @ sample[i]).max() < APART:
                 kept.append(i)
+        if len(kept) < nearest:
+            kept += [i for i in range(len(sample)) if i not in set(kept)][:nearest - len(kept)]
         out[dim] = sample[kept]
     return out
 
@@ -72,7 +78,7 @@ def unit(vecs: np.ndarray) -> np.ndarray:
 
 def index_lists(classes: DataFrame, nearest: int) -> DataFrame:
     """One row per class and pivot that it names: label, dim, pivot, id, size, vec, pivots."""
-    shared = classes.sparkSession.sparkContext.broadcast(choose_pivots(classes))
+    shared = classes.sparkSession.sparkContext.broadcast(choose_pivots(classes, nearest))
     schema = T.StructType([*classes.select("label", "dim", "id", "size", "vec").schema.fields,
                            T.StructField("pivots", T.ArrayType(T.IntegerType()))])
 
@@ -105,7 +111,7 @@ def block_pair(pivot: int, block_a: np.ndarray, ids: np.ndarray, sizes: np.ndarr
     has = np.zeros((len(ids), len(names)), dtype=np.float32)
     np.put_along_axis(has, np.searchsorted(names, pivots), 1.0, axis=1)
     before = has[:, names < pivot]
-    near = has[left] @ has[right].T >= shared  # shared-pivot counts
+    near = has[left] @ has[right].T >= min(shared, pivots.shape[1])  # shared-pivot counts
     near &= before[left] @ before[right].T == 0  # the pair's smallest common pivot is this list's
     if i == j:
         np.fill_diagonal(near, False)
