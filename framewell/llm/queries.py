@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewell.llm.archives import pages_through_archives
+from framewell.llm.centroids import clustered, clustered_sql
 from framewell.llm.common import table
 from framewell.llm.decontaminate import decontaminate
 from framewell.llm.lang_id import identify
 from framewell.llm.licenses import scan, scan_sql
+from framewell.llm.line_dedup import dedup_sql, drop_lines
 from framewell.llm.mixing import mix
 from framewell.llm.near_vectors import near_vectors
 from framewell.llm.ngram_join import ngram_classes
 from framewell.llm.page_text import extract
+from framewell.llm.periodic_runs import find_runs
 from framewell.llm.pseudonyms import pseudonymise
 from framewell.llm.token_counts import count_tokens
 
@@ -89,3 +94,34 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+def repeated_tail(doc_id, n: int) -> np.ndarray | None:
+    """Word numbers of the text of one document in ten whose tail is made periodic, by its id."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or n == 0:
+        return None
+    g = h // 10
+    a = g % n
+    places = np.arange(n)
+    return np.where(places < a, places, a + (places - a) % (1 + (n - a) // (3 + g % 8)))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail)
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op12_centroids", clustered_sql())
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_line_dedup", dedup_sql())
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
