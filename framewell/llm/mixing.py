@@ -11,7 +11,8 @@ aggregate; steps are replayed on each row and the state is written every ``SPAN`
 
 A null or empty text has no words, prior memberships and rate 1. Without labelled rows
 memberships are equal. Repeated rows count each; a null doc_id is a document like any
-other but has no label. Labels of one document are combined by their largest values.
+other but has no label. Labels of one document are combined by their largest values. An
+empty table gives no rows. ``with_rates`` replaces columns mix_rate and mix_copies and keeps all others.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewell.llm.common import materialise
+from framewell.llm.common import fresh, materialise
 
 DOMAINS = ("high", "low", "toxic")
 TARGETS = {"high": 0.80, "low": 0.18, "toxic": 0.02}
@@ -37,10 +38,14 @@ def label_domains(labels: DataFrame) -> DataFrame:
     return one.select("doc_id", F.when(F.col("toxic") > 0, "toxic").when(F.col("quality") > 0, "high").otherwise("low").alias("domain"))
 
 
-def _words(docs: DataFrame, *keep: str) -> DataFrame:
-    """One row per white-space word: the kept columns and the word's bucket."""
-    return (docs.select(*keep, F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word != ''")
-            .select(*keep, F.pmod(F.hash("word"), F.lit(BUCKETS)).alias("bucket")))
+def _buckets(text: str) -> Column:
+    """The buckets of a text's lower-case white-space words, in order. White space becomes blanks first, so that
+    the split needs no regular expression."""
+    flat = F.lower(F.coalesce(text, F.lit("")))
+    for c in "\t\n\x0b\x0c\r":
+        flat = F.replace(flat, F.lit(c), F.lit(" "))
+    words = F.filter(F.split(flat, " "), lambda w: w != "")
+    return F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(BUCKETS)))
 
 
 def fit_classifier(docs: DataFrame, labelled: DataFrame, domains=DOMAINS, most: int = MAX_LABELLED) -> tuple[DataFrame, list[float]]:
@@ -50,7 +55,7 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains=DOMAINS, most:
     n = known.count()
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * min(1.0, most / max(n, 1))) + (n <= most))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most about MAX_LABELLED small rows
-    counts = _words(sample, "domain").groupBy("bucket").agg(
+    counts = sample.select("domain", F.explode(_buckets("text")).alias("bucket")).groupBy("bucket").agg(
         *(F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(d) for d in domains))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     full = materialise(every.join(counts, "bucket", "left").na.fill(0), "mixing")
@@ -64,20 +69,21 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains=DOMAINS, most:
 
 
 def memberships(docs: DataFrame, model: DataFrame, priors: list[float], domains=DOMAINS) -> DataFrame:
-    """(row, doc_id, digest, n_tokens, p_<domain>...) of every row; ``digest`` is the text's hash."""
-    rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    # an explicit empty word gives wordless texts their row
-    words = rows.select("row", "doc_id", F.xxhash64("text").alias("digest"),
-                        F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+")).alias("word"))
-    scored = (words.withColumn("bucket", F.when(F.col("word") == "", -1).otherwise(F.pmod(F.hash("word"), F.lit(BUCKETS))))
-              .join(F.broadcast(model), "bucket", "left")  # BUCKETS rows
-              .groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("digest").alias("digest"),
-                                  F.count(domains[0]).alias("n_tokens"), *(F.coalesce(F.sum(d), F.lit(0.0)).alias(d) for d in domains)))
+    """(doc_id, digest, n_tokens, p_<domain>...) of every row; ``digest`` is the text's hash. A projection: the
+    model's BUCKETS rows are array literals, looked up by bucket."""
+    by_bucket = sorted(model.collect(), key=lambda r: r["bucket"])
+    words = docs.select("doc_id", F.xxhash64("text").alias("digest"), _buckets("text").alias("at"))
+
+    def summed(domain):
+        table = F.array(*(F.lit(float(r[domain])) for r in by_bucket))
+        return F.aggregate("at", F.lit(0.0), lambda total, i: total + F.get(table, i))
+
+    scored = words.select("doc_id", "digest", F.size("at").cast("long").alias("n_tokens"), *(summed(d).alias(d) for d in domains))
     log = [F.log(F.lit(w)) + F.col(d) / F.sqrt(F.greatest("n_tokens", F.lit(1))) for d, w in zip(domains, priors, strict=True)]
     top = F.greatest(*log) if len(log) > 1 else log[0]
-    parts = scored.select("row", "doc_id", "digest", "n_tokens", *(F.exp(x - top).alias(d) for d, x in zip(domains, log, strict=True)))
+    parts = scored.select("doc_id", "digest", "n_tokens", *(F.exp(x - top).alias(d) for d, x in zip(domains, log, strict=True)))
     whole = sum((F.col(d) for d in domains[1:]), F.col(domains[0]))
-    return parts.select("row", "doc_id", "digest", "n_tokens", *((F.col(d) / whole).alias(f"p_{d}") for d in domains))
+    return parts.select("doc_id", "digest", "n_tokens", *((F.col(d) / whole).alias(f"p_{d}") for d in domains))
 
 
 def _replay(steps: list[tuple[float, list[float]]], domains) -> Column:
@@ -137,14 +143,15 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS)
     model, priors = fit_classifier(docs, label_domains(labels), domains)
     soft = materialise(memberships(docs, model, priors, domains), "mixing")
     rated = fit_rates(soft, targets, domains)
-    return rated.withColumn("copies", copies(F.col("rate"), F.coalesce(F.col("doc_id"), F.col("digest")))).drop("row")
+    return rated.withColumn("copies", copies(F.col("rate"), F.coalesce(F.col("doc_id"), F.col("digest"))))
 
 
 def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
     """The rows of ``docs`` with ``mix_rate`` and ``mix_copies`` (replacing such columns); rows of no copy go."""
+    doc, digest = fresh("doc"), fresh("digest")
     rated = materialise(mix(docs, labels, targets).dropDuplicates(["doc_id", "digest"])
-                        .select(F.col("doc_id").alias("_mix_id"), F.col("digest").alias("_mix_digest"),
+                        .select(F.col("doc_id").alias(doc), F.col("digest").alias(digest),
                                 F.col("rate").alias("mix_rate"), F.col("copies").alias("mix_copies")), "mixing")
     plain = docs.drop("mix_rate", "mix_copies")
-    same = plain["doc_id"].eqNullSafe(rated["_mix_id"]) & F.xxhash64(plain["text"]).eqNullSafe(rated["_mix_digest"])
-    return plain.join(rated.hint("merge"), same).where("mix_copies > 0").drop("_mix_id", "_mix_digest")
+    same = plain["doc_id"].eqNullSafe(rated[doc]) & F.xxhash64(plain["text"]).eqNullSafe(rated[digest])
+    return plain.join(rated.hint("merge"), same).where("mix_copies > 0").drop(doc, digest)
