@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framewell.functions.codec import encode_json
 
@@ -47,6 +48,18 @@ def is_present(col) -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
+def document_field(env: DataFrame, path: str) -> Column:
+    """The text of a field of an envelope's document, given as struct, VARIANT or JSON text; null if the
+    document or the field is missing."""
+    part, name = path.split(".", 1)
+    kind = env.schema[part].dataType
+    if isinstance(kind, T.VariantType):
+        return F.try_variant_get(part, f"$.{name}", "string")
+    if isinstance(kind, T.StringType):
+        return F.get_json_object(part, f"$.{name}")
+    return F.col(path)
+
+
 def route_by_operation(env: DataFrame, collection: str = "images",
                        path_field: str = "before_doc.img_path") -> DataFrame:
     """events of one collection with the action their handler takes.
@@ -55,7 +68,7 @@ def route_by_operation(env: DataFrame, collection: str = "images",
     update, replace -> no-op hooks; anything else -> 'ignore'.
     """
     op = F.col("operation_type")
-    action = (F.when((op == "delete") & is_present(F.col(path_field)), F.lit("delete_blob"))
+    action = (F.when((op == "delete") & is_present(document_field(env, path_field)), F.lit("delete_blob"))
               .when(op == "delete", F.lit("none"))
               .when(op.isin("insert", "update", "replace"), F.concat(F.lit("noop_"), op))
               .otherwise(F.lit("ignore")))
@@ -66,7 +79,7 @@ def deleted_paths(env: DataFrame, collection: str = "images",
                   path_field: str = "before_doc.img_path") -> DataFrame:
     """Object paths that delete events of ``collection`` release."""
     routed = route_by_operation(env, collection, path_field)
-    return routed.filter(F.col("action") == "delete_blob").select(F.col(path_field).alias("path"))
+    return routed.filter(F.col("action") == "delete_blob").select(document_field(env, path_field).alias("path"))
 
 
 def cascade_delete(blobs: DataFrame, env: DataFrame, collection: str = "images",

@@ -37,27 +37,20 @@ IMAGE_METADATA = T.StructType([
     T.StructField("updated_datetime", T.TimestampType()),
 ])
 
-# Raw database change record (subset of the change-stream document we use).
+# Raw database change record. Documents are VARIANT: whole, whatever their fields.
 CHANGE_RECORD = T.StructType([
     T.StructField("ns", T.StructType([T.StructField("db", T.StringType()),
                                       T.StructField("coll", T.StringType())])),
     T.StructField("documentKey", T.StructType([T.StructField("_id", T.StringType())])),
     T.StructField("operationType", T.StringType()),
     T.StructField("updateDescription", T.StructType([
-        T.StructField("updatedFields", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("updatedFields", T.VariantType()),
         T.StructField("removedFields", T.ArrayType(T.StringType())),
-        T.StructField("truncatedArrays", T.ArrayType(T.StringType())),
-    ])),
-    T.StructField("fullDocumentBeforeChange", T.StructType([
-        T.StructField("_id", T.StringType()),
-        T.StructField("img_path", T.StringType()),
-        T.StructField("updated_datetime", T.TimestampType()),
-    ])),
-    T.StructField("fullDocument", T.StructType([
-        T.StructField("_id", T.StringType()),
-        T.StructField("img_path", T.StringType()),
-        T.StructField("updated_datetime", T.TimestampType()),
+        T.StructField("truncatedArrays", T.ArrayType(T.StructType([
+            T.StructField("field", T.StringType()), T.StructField("newSize", T.IntegerType())]))),
     ])),
+    T.StructField("fullDocumentBeforeChange", T.VariantType()),
+    T.StructField("fullDocument", T.VariantType()),
 ])
 
 # Time-series message.
