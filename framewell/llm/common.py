@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -25,10 +29,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the session and fix its time zone to UTC."""
+def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Bound the Arrow batches of the session (to ``most`` bytes) and fix its time zone to UTC."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
@@ -86,6 +90,28 @@ def append_columns(df: DataFrame, column: str, schema: T.StructType, name: str,
     return df.mapInArrow(run, out)
 
 
+def arrow_column(kind: T.DataType, make: Callable[[], Callable[[pa.Array], pa.Array]], column: Column) -> Column:
+    """A column computed from another in Arrow batches; all other columns stay in the JVM. ``make()`` runs
+    once per task."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        fn = make()
+        for batch in batches:
+            yield fn(batch)
+
+    return F.arrow_udf(run, kind)(column)
+
+
+def byte_slices(column: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Consecutive slices of a string column of about ``most`` bytes, of one row at least."""
+    size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64))
+    at = 0
+    while at < len(column):
+        before = int(size[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + most, side="right")))
+        yield column.slice(at, end - at)
+        at = end
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The values of a string column as UTF-8 bytes."""
     return column.cast(pa.binary()).to_pylist()
@@ -117,3 +143,22 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     member = cur.groupBy("u").agg(F.min("v").alias("component"))
     return (member.select(F.col("u").alias("node"), "component")
             .unionAll(member.select(F.col("component").alias("node"), "component").distinct()))
+
+
+def worker_cache(key: tuple, make: Callable[[], object]) -> object:
+    """``make()``'s value, kept for later tasks of the same worker process; one value per operator (the
+    first part of ``key``), so other keys replace it. Holds what a task may build anew at any time."""
+    home = sys.modules.setdefault("framewell_worker_cache", types.ModuleType("framewell_worker_cache")).__dict__
+    if home.get(key[0], (None,))[0] != key:
+        home[key[0]] = key, make()
+    return home[key[0]][1]
+
+
+def vocabulary_matches(trie, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(joined, offsets, lengths, end, piece) of all matches of an Aho-Corasick automaton of piece numbers in several
+    texts, searched as one text joined by a character of no piece: ``end`` is the place after the match, ascending."""
+    joined = "\0".join(texts)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    offsets = np.concatenate([[0], np.cumsum(lengths[:-1] + 1)]) if texts else np.zeros(0, np.int64)
+    found = np.fromiter(trie.iter(joined), np.dtype([("last", np.int64), ("piece", np.int64)]))
+    return joined, offsets, lengths, found["last"] + 1, found["piece"]
