@@ -82,6 +82,19 @@ def deleted_paths(env: DataFrame, collection: str = "images",
     return routed.filter(F.col("action") == "delete_blob").select(document_field(env, path_field).alias("path"))
 
 
+def path_events(env: DataFrame, seq: Column, collection: str = "images", before: str = "before_doc.img_path",
+                full: str = "full_doc.img_path") -> DataFrame:
+    """(path, seq, gone) of every event of ``collection`` that names an object path: a delete by its
+    before-image, an insert, update or replace by its document."""
+    op = F.col("operation_type")
+    gone = op == "delete"
+    shown = op.isin("insert", "update", "replace")
+    full_path = document_field(env, full) if full.split(".")[0] in env.columns else F.lit(None).cast("string")
+    path = F.when(gone, document_field(env, before)).when(shown, full_path)
+    rows = env.filter(F.col("collection") == collection).select(path.alias("path"), seq.alias("seq"), gone.alias("gone"))
+    return rows.filter(is_present("path"))
+
+
 def cascade_delete(blobs: DataFrame, env: DataFrame, collection: str = "images",
                    path_field: str = "before_doc.img_path") -> DataFrame:
     """Remove the blobs whose metadata documents were deleted.

@@ -275,13 +275,15 @@ def insert_many(target: DataFrame, docs: DataFrame, key: str | None = None) -> D
 
 def merge_by_key(target: DataFrame, batch: DataFrame, key: str = "name",
                  order: str | Sequence[str] = "event_id", drop: Sequence[str] = (),
-                 guard: bool = False, partial: bool = False) -> DataFrame:
+                 guard: bool = False, partial: bool = False, arrival: Sequence[str] | None = None) -> DataFrame:
     """``update_one({key: k}, {'$set': doc}, upsert=True)`` for a batch.
 
     Last arrival wins inside the batch (W1); batch fields overwrite, fields
     only the target has survive, unknown keys are inserted. One full outer
     join on the key. With ``guard`` a stored row is replaced only by a batch
-    row whose ``order`` is not smaller (replay- and reorder-safe). With
+    row whose ``order`` is not smaller (replay- and reorder-safe). ``arrival``
+    names the columns (batch, partition, offset) kept with every row: offsets are then
+    compared within a topic partition only, and between partitions the later batch wins. With
     ``partial`` records may carry a subset of the fields: null means "not
     supplied", so within the batch each field keeps its last supplied value
     and a stored value survives where the batch supplies none.
@@ -293,7 +295,12 @@ def merge_by_key(target: DataFrame, batch: DataFrame, key: str = "name",
     bj = b.select(key, *[F.col(c).alias(f"_b_{c}") for c in b_cols], F.lit(True).alias("_in_b"))
     j = target.join(bj, key, "full_outer")
     hit = F.coalesce(F.col("_in_b"), F.lit(False))
-    if guard:
+    if arrival:
+        run, part, off = arrival
+        same = F.col(part) == F.col(f"_b_{part}")
+        later = F.when(same, F.col(f"_b_{off}") >= F.col(off)).otherwise(F.col(f"_b_{run}") >= F.col(run))
+        hit = hit & F.coalesce(later, F.lit(True))  # a row without an order, or a new one
+    elif guard:
         ocols = [order] if isinstance(order, str) else list(order)
         if all(c in t_cols and c in b_cols for c in ocols):
             t_o = F.struct(*[F.col(c) for c in ocols])

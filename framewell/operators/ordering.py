@@ -5,15 +5,16 @@ partitions a window by the key alone:
 
 * keep-last / latest use a keyed ``max_by`` aggregate, which combines
   map-side before the shuffle;
-* sequence numbers and previous values are computed inside (key, time slice)
+* sequence numbers and previous values are computed inside (key, slice)
   windows, and the slices are stitched with a per-slice summary (one row per
-  key and slice), which is the only thing windowed by key. By default the
-  slice width adapts per key (``adaptive_slices``); a fixed slice Column
+  key and slice), which is the only thing windowed by key. By default slices
+  have equal depth, cut by rank (``adaptive_slices``); a fixed slice Column
   (e.g. ``date_trunc('hour', ts)``) may be passed instead.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -21,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framewell.session import work_dir
+
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -96,39 +99,32 @@ def default_bucket(df: DataFrame, order: Sequence[str], unit: str = "day") -> Co
 
 
 MIN_SLICE_ROWS = 100_000
+RANGE_ROWS, RANGE_PARTS = 2_000_000, 20_000  # rows of a range partition, and the most of them
 
 
 def adaptive_slices(df: DataFrame, key: Sequence[str], order: Sequence[str],
                     min_rows: int = MIN_SLICE_ROWS) -> DataFrame:
-    """Add ``_b``: a time slice per key.
-
-    A key with n rows gets min(sqrt(n), n / min_rows) slices (at least one),
-    from one keyed aggregate (one row per key, joined back; AQE broadcasts it
-    when small and splits a skewed join partition otherwise). A small key
-    stays whole; a hot key gets about sqrt(n) slices of about sqrt(n) rows,
-    so neither the slice windows nor the per-key slice summary hold it in
-    one task.
+    """Add ``_b``: a slice of each key's rows, ascending with the order.
+
+    While no key has more than ``min_rows`` rows, every key is one slice (a count per key,
+    combined map-side, tells). Otherwise all rows are range-partitioned by key and order, sorted, and
+    cut by rank into slices of at most max(min_rows, sqrt(rows of the largest key)) rows: the
+    depth doesn't depend on how the times are spread, so a burst is cut as finely as a quiet
+    hour, and a key that holds a third of all rows gets about its square root of slices.
+    The rows are checkpointed once (reliable checkpoint), since their ranks follow from where they lie.
     """
-    first = _list(order)[0]
-    dtype = df.schema[first].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        t = F.unix_micros(F.col(first).cast("timestamp")).cast("double")
-    elif isinstance(dtype, T.DateType):
-        t = F.unix_date(F.col(first)).cast("double")
-    else:
-        t = F.col(first).cast("double")
-    d = df.withColumn("_t", t)
-    stats = d.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t0"),
-                                F.max("_t").alias("_t1"))
-    n_slices = F.greatest(F.lit(1.0), F.least(F.sqrt("_n"), F.col("_n") / F.lit(float(min_rows))))
-    # the +1e-9 keeps the newest row inside the last slice
-    stats = stats.select(*key, "_t0", F.greatest((F.col("_t1") - F.col("_t0")) * F.lit(1 + 1e-9) / n_slices,
-                                                 F.lit(1e-9)).alias("_w"))
-    # non-null slice id: a null time or key lands in slice 0, and no
-    # null-rejecting filter is inferred on it (keeps both uses of the sliced
-    # frame identical, so their shuffle is shared)
-    b = F.coalesce(F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")), F.lit(0)).cast("long")
-    return _join_null_safe(d, stats, list(key), "left").withColumn("_b", b).drop("_t", "_t0", "_w")
+    top = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("total")).first()
+    if top.most is None or top.most <= min_rows:
+        return df.withColumn("_b", F.lit(0).cast("long"))
+    spark = df.sparkSession
+    work_dir(spark)
+    depth = max(min_rows, math.isqrt(top.most))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(RANGE_PARTS, -(-top.total // RANGE_ROWS)))
+    ranged = df.repartitionByRange(parts, *key, *order).sortWithinPartitions(*key, *order)
+    # partition number and place in it: the id's upper and lower 33 bits
+    at = F.monotonically_increasing_id()
+    place = at.bitwiseAND((1 << 33) - 1)
+    return ranged.withColumn("_b", at - place + F.floor(place / depth)).checkpoint()
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -5,7 +5,7 @@ seconds after the last reset; that frame closes the window (it is counted in
 it) and becomes the next reset. The reset chain is sequential, so it is
 resolved in three distributed steps without putting a device in one task:
 
-1. per (device, time slice) - slices from ``adaptive_slices``, ~sqrt(n) rows -
+1. per (device, slice) - slices of equal depth from ``adaptive_slices`` -
    the chain is simulated from every frame that could be the slice's first
    reset (frames within ``period`` of the slice start, plus one), giving
    entry -> last reset of the slice;
@@ -52,8 +52,8 @@ def fps_resets(df: DataFrame, time_col: str = "event_datetime", key: str = "devi
                tie: str = "name", period: float = 1.0, min_rows: int = 50_000) -> DataFrame:
     """T-W2 exact: one row per window close (key, reset_time, fps).
 
-    Eager in one place: the sliced frames are checkpointed (reliable
-    checkpoint in ``spark.checkpoint.dir``) because two passes read them.
+    The sliced frames are checkpointed (reliable checkpoint in ``spark.checkpoint.dir``)
+    because two passes read them.
     """
     work_dir(df.sparkSession)
     secs = F.unix_micros(F.col(time_col).cast("timestamp")).cast("double") / F.lit(1e6)

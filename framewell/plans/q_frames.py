@@ -114,6 +114,34 @@ def q_count_batches(spark, d):
         F.max("event_id").alias("last_event_id"))
 
 
+@query("sliced_frames", """
+WITH f AS (SELECT event_id, CASE WHEN user_id % 8 < 3 THEN 'hot' ELSE 'cam' || CAST(user_id % 8 AS VARCHAR) END AS device_id, event_type,
+                  CASE WHEN event_id = (SELECT max(event_id) FROM events) THEN TIMESTAMP '2099-01-01 00:00:00'
+                       ELSE TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(epoch_us(ts) % 1000000) END AS t FROM events),
+n AS (SELECT *, row_number() OVER w - 1 AS frame_index, lag(event_type) OVER w IS DISTINCT FROM event_type AS changed
+      FROM f WINDOW w AS (PARTITION BY device_id ORDER BY t, event_id))
+SELECT event_id, device_id, frame_index, frame_index // 50 AS batch_no, changed, TRUE AS even FROM n""")
+def q_sliced_frames(spark, d):
+    """W3-W5 with hot keys that are cut: a burst (all frames within one second, a third of one device) and
+    one frame far off. ``even``: no slice has more than its depth of rows."""
+    ev = fx.table(spark, d, "events").select("event_id", "user_id", "event_type", "ts")
+    hot = F.when(F.col("user_id") % 8 < 3, F.lit("hot")).otherwise(F.concat(F.lit("cam"), (F.col("user_id") % 8).cast("string")))
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) % 1_000_000
+    last = F.col("event_id") == ev.select(F.max("event_id")).scalar()
+    base = F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    t = F.when(last, F.lit("2099-01-01 00:00:00").cast("timestamp")).otherwise(F.timestamp_micros(base + micros))
+    f = ev.select("event_id", hot.alias("device_id"), "event_type", t.alias("t"))
+    depth = 100
+    order = ("t", "event_id")
+    numbered = ordering.count_batches(ordering.sequence_index(f, "device_id", order, min_rows=depth), 50, "device_id", order, min_rows=depth)
+    changed = ordering.emit_on_change(f, "event_type", "device_id", order, min_rows=depth).select("event_id", F.lit(True).alias("changed"))
+    slices = ordering.adaptive_slices(f, ["device_id"], order, depth)
+    bound = F.greatest(F.lit(depth), F.sqrt(slices.groupBy("device_id").count().select(F.max("count")).scalar()))
+    even = slices.groupBy("device_id", "_b").agg(F.count(F.lit(1)).alias("n")).groupBy("device_id").agg((F.max("n") <= bound).alias("even"))
+    return (numbered.join(changed, "event_id", "left").join(even, "device_id")
+            .select("event_id", "device_id", "frame_index", "batch_no", F.coalesce("changed", F.lit(False)).alias("changed"), "even"))
+
+
 @query("stored_view", with_(META) + """
 SELECT CAST(event_id AS VARCHAR) AS _id, device_id, name, img_path,
        CASE WHEN date_part('microseconds', event_datetime) % 1000000 = 0

@@ -175,7 +175,7 @@ def q_fps_resets(spark, d):
     """T-W2 exact: a window closes at the first frame more than 1 s after the
     last reset; resolved per time slice, never per whole device."""
     m = fx.frame_metadata(spark, d).select("device_id", "name", "event_datetime")
-    out = resets.fps_resets(m, "event_datetime", "device_id", "name", 1.0)
+    out = resets.fps_resets(m, "event_datetime", "device_id", "name", 1.0, min_rows=500)  # so small that devices are cut
     return out.select("device_id", as_ntz("reset_time").alias("reset_time"), "fps")
 
 

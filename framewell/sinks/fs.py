@@ -44,3 +44,19 @@ def latest_version(spark: SparkSession, folder: str, below: int) -> str | None:
         if n < below and (best is None or n > best):
             best = n
     return None if best is None else f"{folder.rstrip('/')}/v={best}"
+
+
+def numbered_folders(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers N of the folders ``folder/name=N``, ascending."""
+    fs, p = _fs(spark, f"{folder.rstrip('/')}/{name}=*")
+    numbers = (st.getPath().getName().split("=", 1)[1] for st in fs.globStatus(p) or [])
+    return sorted(int(n) for n in numbers if n.isdigit())
+
+
+def drop_folders(spark: SparkSession, folder: str, name: str, below: int) -> int:
+    """Delete the folders ``folder/name=N`` with N < ``below``; their number."""
+    old = [n for n in numbered_folders(spark, folder, name) if n < below]
+    for n in old:
+        fs, p = _fs(spark, f"{folder.rstrip('/')}/{name}={n}")
+        fs.delete(p, True)
+    return len(old)

@@ -41,10 +41,17 @@ def upsert_table(spark: SparkSession, batch: DataFrame, table_path: str, key: st
     columns that the key determines (for frames: device and capture hour,
     both part of the frame name). A batch rewrites only the partitions it
     touches, so with time-determined partitions it rewrites recent data
-    only, however large the table is. ``partial``: records may carry a
+    only, however large the table is. A batch with a column ``partition`` comes from a
+    topic of several partitions: rows keep (arrival_batch, partition, offset), offsets are
+    compared within a partition only, between partitions the later batch wins. ``partial``: records may carry a
     subset of the fields (null = not supplied), see ``merge_by_key``.
     """
     table_path = table_path.rstrip("/")
+    arrival = None
+    if "partition" in batch.columns and batch_id is not None:
+        arrival = ("arrival_batch", "partition", order if isinstance(order, str) else order[-1])
+        batch = batch.withColumn("arrival_batch", F.lit(batch_id).cast("long"))
+        order = [*arrival[1:]]
     parts = list(partition_by) if partition_by else ["_bucket"]
     marker = f"{table_path}/_commits/{batch_id}" if batch_id is not None else None
     if marker and path_exists(spark, marker):
@@ -70,7 +77,7 @@ def upsert_table(spark: SparkSession, batch: DataFrame, table_path: str, key: st
             target = target.withColumn(c, F.col(c).cast(b.schema[c].dataType))
         hit = F.struct(*[F.col(c).cast("string") for c in parts]).isin(
             [F.struct(*[F.lit(None if v is None else str(v)) for v in t]) for t in touched])
-        merged = merge_by_key(target.filter(hit), b, key, order, guard=True, partial=partial)
+        merged = merge_by_key(target.filter(hit), b, key, order, guard=True, partial=partial, arrival=arrival)
         # one file per touched partition, not one per task and partition
         merged.repartition(*parts).write.mode("overwrite").partitionBy(*parts).parquet(stage)
     staged = spark.read.parquet(stage)

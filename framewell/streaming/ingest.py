@@ -45,7 +45,8 @@ def poll_trigger(seconds: float = 0.1) -> dict:
 def ingest_frames(spark: SparkSession, source: DataFrame, table_path: str, blob_root: str,
                   rejects_path: str, checkpoint: str | None = None, trigger: dict | None = None,
                   n_buckets: int = 64, metrics_path: str | None = None):
-    """T-W3: topic (offset, value) -> validate -> blobs + keyed metadata + rejects.
+    """T-W3: topic (offset, value, and partition if there are several) -> validate -> blobs + keyed
+    metadata + rejects.
 
     With ``metrics_path`` each batch appends one row (A7/A8): rows, good,
     rejects, elapsed seconds and elapsed per row. Counts come from an
@@ -56,7 +57,7 @@ def ingest_frames(spark: SparkSession, source: DataFrame, table_path: str, blob_
             return
         started = time.perf_counter()
         obs = Observation(f"ingest_{batch_id}")
-        v = validate_frames(batch, keep=["offset"]).observe(
+        v = validate_frames(batch, keep=[c for c in ("partition", "offset") if c in batch.columns]).observe(
             obs, F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("valid")).alias("n_good")).persist()
         try:
             good, rejects = split_rejects(v)

@@ -164,12 +164,12 @@ def test_upsert_table_time_partitions_rewrite_only_touched(spark):
 
 
 def test_relay_buffer_forwards_all_rows(spark, tmp_path):
+    from framewell.sinks.topics import append_buffer
     from framewell.sources.topics import read_buffer_typed
     from framewell.streaming.ingest import relay_buffer
     src = str(tmp_path / "buf")
-    spark.createDataFrame([("io1", 1.0, 1.5), ("io2", 2.0, 2.5)], "io_id string, value double, timestamp double") \
-        .write.json(src)
-    q = relay_buffer(spark, read_buffer_typed(spark, src, "RAW", max_files_per_trigger=1), str(tmp_path / "topic"),
+    append_buffer(spark.createDataFrame([("io1", 1.0, 1.5), ("io2", 2.0, 2.5)], "io_id string, value double, timestamp double"), src)
+    q = relay_buffer(spark, read_buffer_typed(spark, src, "RAW", 5), str(tmp_path / "topic"),
                      key="io_id", checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
     q.awaitTermination()
     out = spark.read.json(str(tmp_path / "topic")).collect()
