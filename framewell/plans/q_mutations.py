@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from framewell.functions.timefmt import as_ntz
-from framewell.operators import mutations, parse
+from framewell.operators import mutations, parse, validate
 from framewell.operators.ordering import keep_last
 from framewell.operators.parse import project_model
 from framewell.plans import fixtures as fx
@@ -28,6 +28,58 @@ def q_insert_many(spark, d):
     return out.select("_id", "device_id", "name", "img_path")
 
 
+IMAGE_RULES = validate.model_from_json("""{
+  "_id": {"type": "string", "required": true, "max_length": 24},
+  "name": {"type": "string", "required": true, "pattern": "^[0-9]+[.]jpg$"},
+  "event_datetime": {"type": "datetime", "required": true},
+  "width": {"type": "string", "default": "640"},
+  "status": {"type": "string", "choices": ["F", "O", "P"]},
+  "price": {"type": "double", "least": 0}
+}""")
+
+
+def _raw_images(spark, d):
+    """Image documents as a client sends them, text throughout; rule-made faults by key % 20."""
+    k = F.col("o_orderkey")
+    m = k % 20
+    o = fx.table(spark, d, "orders")
+    key = F.when(m == 1, None).when(m == 2, k - 2).otherwise(k).cast("string")
+    return o.select(
+        k.alias("src"), key.alias("_id"),
+        F.when(~m.isin(8, 10), F.concat(F.when(m == 9, F.lit("x ")).otherwise(F.lit("")), k.cast("string"), F.lit(".jpg"))).alias("name"),
+        F.when(m == 7, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.date_format("o_orderdate", "yyyy/MM/dd")).alias("event_datetime"),
+        F.when(m == 6, F.lit("Z")).otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(m.isin(4, 10), F.lit("abc")).when(m == 5, F.lit("-1.5")).otherwise(F.col("o_totalprice").cast("string")).alias("price"))
+
+
+@query("insert_rejects", """
+WITH r AS (SELECT o_orderkey AS src, o_orderkey % 20 AS m, o_totalprice, o_orderstatus, o_orderdate FROM orders)
+SELECT src, CASE m WHEN 1 THEN NULL WHEN 2 THEN CAST(src - 2 AS VARCHAR) ELSE CAST(src AS VARCHAR) END AS _id,
+       CASE m WHEN 1 THEN '_id: required' WHEN 2 THEN '_id: repeated' WHEN 3 THEN '_id: stored already' WHEN 4 THEN 'price: not double'
+              WHEN 5 THEN 'price: less than 0' WHEN 6 THEN 'status: not a choice' WHEN 7 THEN 'event_datetime: not datetime'
+              WHEN 8 THEN 'name: required' WHEN 9 THEN 'name: malformed' WHEN 10 THEN 'name: required; price: not double' ELSE '' END AS reasons,
+       CASE WHEN m = 0 OR m > 10 THEN o_totalprice END AS price, CASE WHEN m = 0 OR m > 10 THEN o_orderstatus END AS status,
+       CASE WHEN m = 0 OR m > 10 THEN o_orderdate END AS event_datetime, CASE WHEN m = 0 OR m > 10 THEN '640' END AS width
+FROM r""")
+def q_insert_rejects(spark, d):
+    """Documents validated on insert: accepted rows as they are stored, refused ones with every reason."""
+    target = fx.images(spark, d).where(F.col("_id").cast("long") % 20 == 3)
+    got = validate.insert_validated(target, _raw_images(spark, d), IMAGE_RULES, "_id", "src")
+    stored = got.table.select("_id", "price", "status", as_ntz("event_datetime").alias("event_datetime"), "width")
+    accepted = got.ids.join(stored, "_id").select("src", "_id", F.lit("").alias("reasons"), "price", "status", "event_datetime", "width")
+    refused = got.rejects.select("src", "_id", F.array_join("reasons", "; ").alias("reasons"))
+    return accepted.unionByName(refused, allowMissingColumns=True)
+
+
+@query("insert_counts", """
+SELECT CAST(count_if(o_orderkey % 20 = 0 OR o_orderkey % 20 > 10) AS BIGINT) AS inserted_count,
+       CAST(count_if(o_orderkey % 20 BETWEEN 1 AND 10) AS BIGINT) AS rejected_count FROM orders""")
+def q_insert_counts(spark, d):
+    """Inserted and refused counts of the same insert."""
+    target = fx.images(spark, d).where(F.col("_id").cast("long") % 20 == 3)
+    return validate.insert_validated(target, _raw_images(spark, d), IMAGE_RULES, "_id", "src").counts
+
+
 @query("update_set_unset", with_(IMAGES) + """,
 m AS (SELECT *, device_id = 'cam3' AND event_datetime >= TIMESTAMP '1996-01-01' AS hit FROM images)
 SELECT _id, CASE WHEN hit THEN '1280' ELSE width END AS width,

@@ -13,15 +13,19 @@ from framewell.plans import fixtures as fx
 from framewell.plans.registry import query
 from framewell.plans.sqlparts import BLOBS, CHANGES, META, with_
 from framewell.session import scratch_path
+from framewell.sinks.entries import append_entries, read_entries, trim_entries
 from framewell.sinks.tables import read_keyed_table
+from framewell.sinks.topics import append_topic
 from framewell.sources.tables import read_changes
-from framewell.sources.topics import read_topic_files, write_topic_files
+from framewell.sources.topics import consume, read_topic_files, read_topic_rows, write_topic_files
 from framewell.streaming.changes import cascade_stream, live_blobs, live_latest_stream, route_changes
-from framewell.streaming.collect import collect_batches
+from framewell.streaming.collect import collect_ordered, read_batches
 from framewell.streaming.ingest import archive_stream, ingest_frames
-from framewell.streaming.metrics import fps_stream, read_window_counts
+from framewell.streaming.metrics import fps_stream, latency_stream, read_histogram, read_latency, read_window_counts
 
 _ONCE = {"availableNow": True}
+_LAT_STREAM = """
+lat AS (SELECT 'cam' || CAST(user_id % 8 AS VARCHAR) AS device_id, value AS x FROM events)"""
 
 # Envelope as it sits on the topic: document parts are JSON text.
 ENVELOPE_TEXT = T.StructType([
@@ -153,20 +157,86 @@ def q_stream_cascade(spark, d):
 
 
 @query("stream_collect", with_(META) + f"""
-SELECT device_id, count(*) // 50 AS n_batches, (count(*) // 50) * 50 AS n_items
-FROM meta WHERE {_GOOD} GROUP BY device_id""")
+SELECT device_id, event_id, (row_number() OVER w - 1) // 50 AS batch_no, (row_number() OVER w - 1) % 50 AS position,
+       CASE WHEN (row_number() OVER w - 1) // 50 < count(*) OVER (PARTITION BY device_id) // 50 THEN 'size' ELSE 'timeout' END AS flushed_by
+FROM meta WHERE {_GOOD} WINDOW w AS (PARTITION BY device_id ORDER BY event_id)""")
 def q_stream_collect(spark, d):
-    """T-W1: batches of 50 frames per device from a stateful processor
-    (size-only mode: full batches are flushed, a partial one waits)."""
+    """T-W1: batches of 50 frames per device in arrival order over several triggers; a closing message's time is
+    past the timeout of what is left, which is flushed as partial batches."""
     base = scratch_path(spark, "stream_collect")
-    write_topic_files(fx.topic(spark, d), f"{base}/topic", n_files=4)
-    src = read_topic_files(spark, f"{base}/topic", max_files_per_trigger=2)
-    good, _ = split_rejects(validate_frames(src, keep=["offset"]))
-    batches = collect_batches(good, "device_id", ["offset", "name"], 50)
-    q = (batches.writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/ck").trigger(**_ONCE).start())
-    q.awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    per = out.groupBy("device_id", "batch_no").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy("device_id").agg(F.count(F.lit(1)).alias("n_batches"),
-                                        F.sum("n").alias("n_items"))
+    topic = fx.topic(spark, d).select("offset", "value")
+    row = F.struct(F.col("offset").alias("event_id"), "value")
+    device = F.coalesce(F.get_json_object("value", "$.device_id"), F.lit(""))
+    part = F.pmod(F.xxhash64(device), F.lit(4))
+    ordered = topic.select("offset", part.alias("_p"), F.to_json(row).alias("value")).repartitionByRange("_p", "offset").sortWithinPartitions("_p", "offset")
+    append_topic(ordered, f"{base}/topic", partition=F.col("_p"), value="value")
+    closing = fx.topic(spark, d).orderBy("offset").limit(1).select(F.to_json(F.struct(F.lit(-1).alias("event_id"), F.to_json(F.struct(
+        F.lit("closing").alias("device_id"), F.lit("end").alias("name"), F.lit(4102444800.0).alias("timestamp"),
+        F.lit("1").alias("width"), F.lit("1").alias("height"), F.lit("").alias("img"))).alias("value"))).alias("value"))
+    limit = max(100, topic.count() // 3)
+    for last in (False, True):
+        if last:
+            append_topic(closing, f"{base}/topic", value="value")
+        src = read_topic_rows(spark, f"{base}/topic", "earliest", limit)
+        messages = src.select(F.from_json("value", "event_id long, value string").alias("m")).select("m.event_id", "m.value")
+        good, _ = split_rejects(validate_frames(messages, keep=["event_id"]))
+        frames = good.withColumn("event_time", epoch_to_timestamp("timestamp"))
+        q = collect_ordered(spark, frames, f"{base}/out", "device_id", ["event_id"], 50, "event_id", "event_time",
+                            timeout_seconds=400 * 86400, trigger={"processingTime": "0 seconds"}, min_rows=500)
+        q.processAllAvailable()
+        q.stop()
+    return read_batches(spark, f"{base}/out").where("device_id != 'closing'")
+
+
+@query("stream_latency", with_(_LAT_STREAM) + """
+SELECT device_id, count(*) AS n, round(avg(x), 6) AS avg_latency, min(x) AS min_latency, max(x) AS max_latency,
+       CAST(count_if(x <= 10) AS BIGINT) AS le_10, CAST(count_if(x <= 50) AS BIGINT) AS le_50, TRUE AS p50_ok, TRUE AS p90_ok, TRUE AS p99_ok
+FROM lat GROUP BY device_id""")
+def q_stream_latency(spark, d):
+    """A8/A9 over a stream: counts, means, extremes and buckets exact, percentiles from merged sketches: ``ok`` if the
+    rank of the value among all values is within 1 % of the percentile's."""
+    base = scratch_path(spark, "stream_latency")
+    ev = fx.table(spark, d, "events").select(F.concat(F.lit("cam"), (F.col("user_id") % 8).cast("string")).alias("device_id"), F.col("value").alias("x"))
+    append_topic(ev, f"{base}/topic", "device_id", 4)
+    src = read_topic_rows(spark, f"{base}/topic", "earliest", max(100, ev.count() // 4))
+    rows = src.select(F.from_json("value", "device_id string, x double").alias("m")).select("m.*")
+    q = latency_stream(spark, rows, "x", f"{base}/latency", ["device_id"], [10, 50], trigger={"processingTime": "0 seconds"})
+    q.processAllAvailable()
+    q.stop()
+    keys = ["device_id"]
+    stats = read_latency(spark, f"{base}/latency", keys)
+    buckets = read_histogram(spark, f"{base}/latency", [10, 50], keys).groupBy(*keys).pivot("le", ["10", "50"]).agg(F.first("count"))
+    # few rows of statistics join all values to find the rank that each percentile really has
+    ranks = ev.join(F.broadcast(stats), keys).groupBy(*keys).agg(*[
+        ((F.avg((F.col("x") < F.col(f"p{p}_latency")).cast("double")) - 0.01 <= p / 100)
+         & (F.avg((F.col("x") <= F.col(f"p{p}_latency")).cast("double")) + 0.01 >= p / 100)).alias(f"p{p}_ok") for p in (50, 90, 99)])
+    return stats.join(buckets, keys).join(ranks, keys).select(
+        "device_id", "n", F.round("avg_latency", 6).alias("avg_latency"), "min_latency", "max_latency",
+        F.col("10").alias("le_10"), F.col("50").alias("le_50"), "p50_ok", "p90_ok", "p99_ok")
+
+
+@query("stream_retention", """
+WITH e AS (SELECT event_id, ts, (row_number() OVER (ORDER BY event_id) - 1) // ((SELECT count(*) + 2 FROM events) // 3) + 1 AS run FROM events),
+m AS (SELECT run, max(max(ts)) OVER (ORDER BY run) AS newest FROM e GROUP BY run),
+s AS (SELECT m.run, count(*) AS stored FROM m JOIN e ON e.run <= m.run AND e.ts >= m.newest - INTERVAL 36 HOUR GROUP BY m.run),
+a AS (SELECT run, count(*) AS added FROM e GROUP BY run)
+SELECT CAST(run AS INTEGER) AS run, stored, added + coalesce(lag(stored) OVER (ORDER BY run), 0) - stored AS removed FROM s JOIN a USING (run)""")
+def q_stream_retention(spark, d):
+    """T-W6/F11: entries stored by time slots and trimmed after each of three triggers to the last 36 hours; what is stored
+    and how many entries each trim removed."""
+    base = scratch_path(spark, "stream_retention")
+    ev = fx.table(spark, d, "events").select("event_id", "ts")
+    limit = -(-ev.count() // 3)
+    append_topic(ev.repartitionByRange("event_id").sortWithinPartitions("event_id"), f"{base}/topic")
+    width, out = 6 * 3600, []
+
+    def keep(batch, batch_id):
+        rows = batch.select(F.from_json("value", "event_id long, ts timestamp_ntz").alias("m")).select("m.*")
+        append_entries(rows, f"{base}/entries", "ts", width, batch_id)
+        removed = trim_entries(spark, f"{base}/entries", "ts", 36 * 3600, width)
+        out.append((batch_id + 1, read_entries(spark, f"{base}/entries").count(), removed))
+
+    q = consume(read_topic_rows(spark, f"{base}/topic", "earliest", limit), keep, f"{base}/ck", {"processingTime": "0 seconds"})
+    q.processAllAvailable()
+    q.stop()
+    return spark.createDataFrame(out, "run int, stored long, removed long")
