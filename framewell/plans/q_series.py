@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from framewell.functions.codec import decode_json
 from framewell.functions.timefmt import (DISPLAY_TIME_PATTERN, OBJECT_DATE_PATTERN, OBJECT_TIME_PATTERN,
                                          as_ntz, parse_event_time, parse_request_date, shifted_epoch)
-from framewell.operators import config, infer, resets, series
+from framewell.operators import config, resets, series
 from framewell.plans import fixtures as fx
 from framewell.plans.registry import query
 from framewell.plans.sqlparts import META, POINTS, with_
@@ -143,18 +143,6 @@ def q_flatten_config(spark, d):
     return config.flatten_config(ev, "props", ["event_id"])
 
 
-@query("infer_scores", """
-SELECT vec_id, label,
-       round(1.0 / (1.0 + exp(-list_dot_product(CAST(embedding AS DOUBLE[]),
-             list_transform(range(1, len(embedding) + 1), lambda i: sin(i))))), 6) AS score
-FROM embeddings""")
-def q_infer_scores(spark, d):
-    """A model built once per task scores Arrow batches of vectors."""
-    e = fx.table(spark, d, "embeddings")
-    out = infer.infer(e, "embedding", ["vec_id", "label"])
-    return out.select("vec_id", "label", F.round("score", 6).alias("score"))
-
-
 @query("fps_resets", with_(META) + """,
 m AS (SELECT device_id, event_datetime,
              row_number() OVER (PARTITION BY device_id ORDER BY event_datetime, name) AS rn FROM meta),

@@ -29,6 +29,9 @@ from framewell.sinks.fs import drop_folders, latest_version
 from framewell.streaming.ingest import _start
 
 
+MILLIS = "collect__millis"  # an item's event time
+
+
 class _CollectProcessor(StatefulProcessor):
     def __init__(self, key: str, items: list[str], item_schema: T.StructType, max_size: int, timeout_ms: int | None, by_event: bool):
         self.key, self.fields, self.item_schema = key, items, item_schema
@@ -72,7 +75,7 @@ class _CollectProcessor(StatefulProcessor):
                 self.handle.deleteTimer(deadline)
                 deadline = -1
             if len(rest):
-                start = int(rest["_ms"].iloc[0]) if self.by_event else timerValues.getCurrentProcessingTimeInMs()
+                start = int(rest[MILLIS].iloc[0]) if self.by_event else timerValues.getCurrentProcessingTimeInMs()
                 deadline = start + self.timeout_ms
                 self.handle.registerTimer(deadline)
         self.pending.clear()
@@ -106,10 +109,10 @@ def collect_batches(stream: DataFrame, key: str, items: list[str], max_size: int
     """
     ensure_rocksdb_state_store(stream.sparkSession)
     by_event = time_col is not None
-    ms = [F.unix_millis(F.col(time_col)).alias("_ms")] if by_event else []
+    ms = [F.unix_millis(F.col(time_col)).alias(MILLIS)] if by_event else []
     kept = [*items, *([time_col] if by_event and time_col not in items else [])]
     rows = stream.select(key, *kept, *ms)
-    item_schema = T.StructType([rows.schema[c] for c in [*items, *(["_ms"] if by_event else [])]])
+    item_schema = T.StructType([rows.schema[c] for c in [*items, *([MILLIS] if by_event else [])]])
     out_schema = T.StructType([stream.schema[key], *[stream.schema[c] for c in items], T.StructField("batch_no", T.LongType()),
                                T.StructField("position", T.LongType()), T.StructField("flushed_by", T.StringType())])
     timeout_ms = None if timeout_seconds is None else int(timeout_seconds * 1000)

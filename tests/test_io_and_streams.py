@@ -41,8 +41,8 @@ def test_flatten_nested_config(spark):
 def test_scoring_paths_agree(spark):
     rows = [(i, [float(np.sin(i + j)) for j in range(8)]) for i in range(20)]
     df = spark.createDataFrame(rows, "id int, v array<double>")
-    a = {r.id: r.score for r in infer.infer(df, "v", ["id"]).collect()}
-    w = list(infer.rule_weights(8))
+    w = [0.3 * (-1) ** i + 0.1 * i for i in range(8)]
+    a = {r.id: r.score for r in infer.infer(df, "v", ["id"], infer.LinearModel(tuple(w))).collect()}
     b = {r.id: r.s for r in df.select("id", infer.score_linear("v", w).alias("s")).collect()}
     assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
 
@@ -127,7 +127,7 @@ def test_drop_expired_stream(spark, tmp_path):
 
 
 def test_ingest_metrics_and_inference_sink(spark, tmp_path):
-    from framewell.operators.infer import infer_to_table
+    from framewell.operators.infer import LinearModel, infer_to_table
     from framewell.plans import fixtures as fx
     from framewell.sinks.tables import read_keyed_table
     from framewell.sources.topics import read_topic_files, write_topic_files
@@ -141,7 +141,7 @@ def test_ingest_metrics_and_inference_sink(spark, tmp_path):
     assert m[0] == 1000 and m[1] == 1000 - 60 and m[2] == 2
     emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").withColumn("seq", F.lit(1))
     path = scratch_path(spark, "infer") + "/t"
-    infer_to_table(emb, "embedding", ["label"], "vec_id", path, "seq", batch_id=0)
+    infer_to_table(emb, "embedding", ["label"], "vec_id", path, "seq", LinearModel((0.1,) * 64), batch_id=0)
     assert read_keyed_table(spark, path).count() == emb.count()
 
 
