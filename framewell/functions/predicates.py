@@ -35,13 +35,16 @@ def coerce_query(value, field: str = ""):
     """Request literals typed by the field they stand under.
 
     Text under a ``*_datetime`` field, directly or below operators and lists, becomes a
-    datetime of the three request formats (ValueError names the field). Ids stay text;
-    ``is_object_id`` tells whether one is well-formed.
+    datetime of the three request formats (ValueError names the field). A well-formed object
+    id under ``_id``, directly or below operators and lists (T7), takes the form it is stored in, lower-case hex;
+    other ids stay as they are.
     """
     if isinstance(value, dict):
         return {k: coerce_query(v, field if k.startswith("$") else k) for k, v in value.items()}
     if isinstance(value, list):
         return [coerce_query(v, field) for v in value]
+    if field == "_id" and is_object_id(value):
+        return value.lower()
     if isinstance(value, str) and field.endswith("_datetime"):
         try:
             return parse_request_date_literal(value)

@@ -147,3 +147,63 @@ def q_paginate_keyset(spark, d):
     after = (F.lit("1996-06-30 00:00:00").cast("timestamp"), "5000")
     page = ordering.keyset_page(m, ["-event_datetime", "_id"], after, 10)
     return page.select("_id", "device_id", "event_datetime")
+
+
+@query("aggregate_lookup", """
+WITH j AS (SELECT c_mktsegment AS _id, o_orderkey, o_totalprice,
+                  row_number() OVER (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC, o_orderkey) AS r
+           FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'O')
+SELECT _id, count(*) AS n, max(o_totalprice) AS most, array_to_string(list(CAST(o_orderkey AS VARCHAR) ORDER BY r) FILTER (WHERE r <= 3), ',') AS top
+FROM j GROUP BY _id""")
+def q_aggregate_lookup(spark, d):
+    """A5: $match -> $lookup -> $group with a bounded $topN."""
+    out = collection.aggregate(fx.table(spark, d, "orders"), [
+        {"$match": {"o_orderstatus": "O"}},
+        {"$lookup": {"from": "customer", "localField": "o_custkey", "foreignField": "c_custkey", "as": "c", "unwind": True}},
+        {"$group": {"_id": "$c.c_mktsegment", "n": {"$count": {}}, "most": {"$max": "$o_totalprice"},
+                    "top": {"$topN": {"n": 3, "sortBy": {"o_totalprice": -1, "o_orderkey": 1}, "output": {"$toString": "$o_orderkey"}}}}},
+    ], {"customer": fx.table(spark, d, "customer")})
+    return out.withColumn("top", F.array_join("top", ","))
+
+
+@query("aggregate_lookup_list", """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS r FROM orders),
+l AS (SELECT o_custkey, list(CAST(o_orderkey AS VARCHAR) ORDER BY r) AS keys FROM r WHERE r <= 2 GROUP BY o_custkey)
+SELECT c_custkey, coalesce(array_to_string(keys, ','), '') AS newest, CAST(coalesce(len(keys), 0) AS INTEGER) AS n FROM customer LEFT JOIN l ON o_custkey = c_custkey""")
+def q_aggregate_lookup_list(spark, d):
+    """A5: $lookup of each customer's two newest orders as an array."""
+    out = collection.aggregate(fx.table(spark, d, "customer"), [
+        {"$lookup": {"from": "orders", "localField": "c_custkey", "foreignField": "o_custkey", "as": "o", "most": 2, "sortBy": {"o_orderdate": -1, "o_orderkey": 1}}},
+    ], {"orders": fx.table(spark, d, "orders")})
+    return out.select("c_custkey", F.array_join(F.transform("o", lambda x: x["o_orderkey"].cast("string")), ",").alias("newest"), F.size("o").alias("n"))
+
+
+@query("aggregate_facets", """
+WITH b AS (SELECT CASE WHEN o_totalprice >= 0 AND o_totalprice < 50000 THEN '0' WHEN o_totalprice >= 50000 AND o_totalprice < 200000 THEN '50000' ELSE 'more' END AS _id FROM orders)
+SELECT 'prices' AS facet, _id, count(*) AS n FROM b GROUP BY _id
+UNION ALL SELECT 'statuses', o_orderstatus, count(*) FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'total', NULL, count(*) FROM orders""")
+def q_aggregate_facets(spark, d):
+    """A5: $facet over $bucket, $sortByCount and $count."""
+    out = collection.aggregate(fx.table(spark, d, "orders"), [{"$facet": {
+        "prices": [{"$bucket": {"groupBy": "$o_totalprice", "boundaries": [0, 50000, 200000], "default": "more", "output": {"n": {"$count": {}}}}}],
+        "statuses": [{"$sortByCount": "$o_orderstatus"}, {"$project": {"_id": 1, "n": "$count"}}],
+        "total": [{"$count": "n"}]}}])
+    return out.select("facet", F.try_variant_get("doc", "$._id", "string").alias("_id"), F.try_variant_get("doc", "$.n", "bigint").alias("n"))
+
+
+@query("paginate_past_end", with_(IMAGES) + """
+SELECT CAST(NULL AS VARCHAR) AS _id, count(*) AS total_count FROM images WHERE status = 'O'""")
+def q_paginate_past_end(spark, d):
+    """A2/O2: a page past the end still tells the total."""
+    out = collection.find_with_paginate(fx.images(spark, d), {"status": "O"}, sort=["-event_datetime"], page_size=10, page_num=1_000_000, keep_total=True)
+    return out.select("_id", "total_count")
+
+
+@query("distinct_floats", """
+SELECT DISTINCT 'value' AS field, CASE WHEN value = trunc(value) THEN CAST(CAST(value AS BIGINT) AS VARCHAR) || '.0' ELSE CAST(value AS VARCHAR) END AS value, 'float' AS type FROM events
+UNION SELECT 'large', CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) || '000000.0', 'float' FROM events""")
+def q_distinct_floats(spark, d):
+    """Distinct values of doubles, small and large, in the text that the store's client shows."""
+    ev = fx.table(spark, d, "events").select("value", (F.round(F.col("value") * 100) * 1e6).alias("large"))
+    return collection.distinct_values(ev, ["value", "large"])
