@@ -129,7 +129,9 @@ def archive_stream(spark: SparkSession, source: DataFrame, model: T.StructType,
             good = batch.filter("valid").drop("valid", "_raw").withColumn("dt", F.date_format("event_datetime", "yyyy_MM_dd"))
             if dedup_key:
                 good = keep_last(good, dedup_key, "offset")
-            good.write.mode("overwrite").partitionBy(category, "dt").parquet(f"{base}/_batch={batch_id}")
+            # a folder's rows come together first (large ones are split again): few files a batch, not tasks x folders
+            (good.hint("rebalance", F.col(category), F.col("dt")).write.mode("overwrite")
+             .partitionBy(category, "dt").parquet(f"{base}/_batch={batch_id}"))
             (batch.filter("not valid").select("offset", F.col("_raw").alias("value"))
              .write.mode("overwrite").parquet(f"{rejects}/_batch={batch_id}"))
         finally:
