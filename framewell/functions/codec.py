@@ -81,16 +81,6 @@ def encode_json(col) -> Column:
                                "ignoreNullFields": "false"})
 
 
-def safe_double(col) -> Column:
-    """float(x) over text; non-numbers -> null."""
-    return _c(col).try_cast("double")
-
-
-def with_default(col, default) -> Column:
-    """Null fallback."""
-    return F.coalesce(_c(col), F.lit(default))
-
-
 # Python type names reported next to distinct values.
 PY_TYPE_NAMES = {
     "string": "str", "bigint": "int", "int": "int", "smallint": "int", "tinyint": "int",

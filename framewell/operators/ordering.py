@@ -20,7 +20,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from framewell.session import work_dir
 
@@ -82,22 +81,6 @@ def latest_per_key(df: DataFrame, key: str = "device_id",
     return keep_last(df, key, order)
 
 
-def latest_one(df: DataFrame, order: Sequence[str] = ("event_datetime", "name"),
-               where: Column | None = None) -> DataFrame:
-    """W2/O3 for one selection: newest single row (top-1, plans as TakeOrdered)."""
-    src = df if where is None else df.filter(where)
-    return src.orderBy(*[F.col(c).desc() for c in _list(order)]).limit(1)
-
-
-def default_bucket(df: DataFrame, order: Sequence[str], unit: str = "day") -> Column:
-    """Time slice of the first order column (monotone with the order)."""
-    first = _list(order)[0]
-    dtype = df.schema[first].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.date_trunc(unit, F.col(first))
-    return F.floor(F.col(first) / F.lit(86400.0 if unit == "day" else 3600.0))
-
-
 MIN_SLICE_ROWS = 100_000
 RANGE_ROWS, RANGE_PARTS = 2_000_000, 20_000  # rows of a range partition, and the most of them
 

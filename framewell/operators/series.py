@@ -66,13 +66,6 @@ def latency_stats(df: DataFrame, latency: Column | str, keys: Sequence[str] = ()
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-def batch_latency(df: DataFrame, elapsed: Column | str, size: Column | str) -> DataFrame:
-    """A8 batch form: elapsed time of each batch divided by its row count."""
-    e = F.col(elapsed) if isinstance(elapsed, str) else elapsed
-    n = F.col(size) if isinstance(size, str) else size
-    return df.withColumn("latency_per_row", F.when(n > 0, e / n))
-
-
 def latency_histogram(df: DataFrame, latency: Column | str, bounds: Sequence[float],
                       keys: Sequence[str] = ()) -> DataFrame:
     """Cumulative bucket counts (le, count), with '+Inf' = all rows.

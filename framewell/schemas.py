@@ -6,8 +6,6 @@ storage.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import types as T
 
 # Frame message as it arrives on the topic (img is base64 text).
@@ -103,21 +101,6 @@ def schema_by_name(name: str) -> T.StructType:
         raise ValueError(f"unknown record kind: {name!r}") from None
 
 
-def register_schema(name: str, schema: T.StructType | str | dict) -> T.StructType:
-    """Add a schema given as StructType, its JSON text, or its JSON dict."""
-    if isinstance(schema, str):
-        schema = json.loads(schema)
-    if isinstance(schema, dict):
-        schema = T.StructType.fromJson(schema)
-    _REGISTRY[name] = schema
-    return schema
-
-
-def load_schema_file(path: str) -> T.StructType:
-    with open(path, encoding="utf-8") as fh:
-        return T.StructType.fromJson(json.load(fh))
-
-
 # Named projections (P3). A request names one; unknown names fail; no name
 # means the whole document.
 PROJECTIONS: dict[str, list[str]] = {
