@@ -11,7 +11,8 @@ take whole files, whose size is that of a write task.
 
 A null html is an empty payload; a null url is written as ``urn:none``; white space in a URL is
 percent-encoded. Null page ids stay null and sort lowest; of repeated rows with equal
-page id and payload one is the response. Empty tables give empty archives.
+page id and payload one is the response. Empty tables give empty archives. Only page_id, url and html
+are read, so other columns can't clash; pages of any length are written whole.
 """
 
 from __future__ import annotations

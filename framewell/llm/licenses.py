@@ -10,8 +10,8 @@ Not found: a licence wrapped over several lines inside a longer text, other titl
 wordings, and notices that share a line with other words. The SQL oracle knows only copyright
 lines that start with the word; where a text has others, the scan can find more than it.
 
-Null and empty texts have no licence; repeated rows give equal rows; other columns are not
-read. Several licences of one text are listed in the order of their names.
+Null and empty texts have no licence; texts of any length are scanned whole; repeated rows give
+equal rows; an empty table gives no rows; other columns are not read, so their names can't clash. Several licences of one text are listed in the order of their names.
 """
 
 from __future__ import annotations

@@ -17,8 +17,8 @@ edge a class, never pairs.
 
 Vectors that are null, zero or hold null or non-finite components, or whose label is null,
 link with nothing. Vectors of different lengths have no cosine. Rows with a null vec_id
-have no component and link with nothing; repeated rows count as vectors. Other columns
-are not read.
+have no component and link with nothing; repeated rows count as vectors. An empty table gives no
+rows. Other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations

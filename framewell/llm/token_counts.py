@@ -9,7 +9,8 @@ character that is no piece costs the least score less ``UNKNOWN`` and counts the
 the run of such characters it stands in, or one for the run if the vocabulary lacks a byte.
 
 The vocabulary's path is a parameter. A null or empty text has no tokens; any text is read
-whole; repeated rows give equal rows; other columns are not read.
+whole; repeated rows give equal rows, whichever words a worker knows already; an empty table gives
+no rows; other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewell.llm.common import append_columns, fresh, vocabulary_matches, worker_cache
