@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -21,6 +22,7 @@ from framewell.session import scratch_path
 # more batches, so a Python worker's memory does not depend on their number.
 BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
+SMALL_BATCH_BYTES = 2 << 20  # where several operators follow each other in the same worker processes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +66,7 @@ def map_batches(df: DataFrame, schema: T.StructType,
                     [c if isinstance(c, pa.Array) else pa.array(c, type=f.type)
                      for f, c in zip(arrow, (cols[f.name] for f in arrow), strict=True)],
                     schema=arrow)
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -86,10 +89,20 @@ def append_columns(df: DataFrame, column: str, schema: T.StructType, name: str,
             yield pa.RecordBatch.from_arrays(
                 [*(c.cast(f.type) for c, f in zip(batch.columns, arrow, strict=False)),
                  pa.StructArray.from_arrays(arrays, fields=list(inner))], schema=arrow)
+        give_back_memory()
 
     return df.mapInArrow(run, out)
 
 
+def give_back_memory() -> None:
+    """At a task's end: return what allocators keep for reuse, as the worker process stays."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def arrow_column(kind: T.DataType, make: Callable[[], Callable[[pa.Array], pa.Array]], column: Column) -> Column:
     """A column computed from another in Arrow batches; all other columns stay in the JVM. ``make()`` runs
     once per task."""
@@ -97,6 +110,7 @@ def arrow_column(kind: T.DataType, make: Callable[[], Callable[[pa.Array], pa.Ar
         fn = make()
         for batch in batches:
             yield fn(batch)
+        give_back_memory()
 
     return F.arrow_udf(run, kind)(column)
 

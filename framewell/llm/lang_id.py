@@ -8,11 +8,12 @@ expectation-maximisation over the word counts of at most ``per_lang`` labelled t
 a language (documented bound; chosen by hash of doc_id among all labelled texts).
 
 Words are the maximal runs of letters of the lower-cased text, each led by the
-vocabulary's word mark; words longer than ``PART`` letters are scored in parts, none is
-dropped. A letter that is no piece of the vocabulary has the same floor probability in
-every language. A text that is null or has no letter is ``und`` with score 0, and so is
-every text if there is nothing to learn from. Ties go to the first language in
-sorted order. Repeated rows get equal rows; other columns pass through unread.
+vocabulary's word mark. Words of any length are scored over all their segmentations; in
+learning, words longer than ``PART`` letters are counted in parts. A letter that is no piece of the
+vocabulary has the same floor probability in every language. A text that is null or has no
+letter is ``und`` with score 0, and so is every text if there is nothing to learn from. Ties
+go to the first language in sorted order. Repeated rows get equal rows; an empty table gives no rows; other
+columns pass through unread, names that clash with the results' are no matter.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from framewell.llm.common import append_columns, fresh, materialise
+from framewell.llm.common import arrow_column, byte_slices, fresh, materialise, vocabulary_matches
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -39,7 +41,12 @@ SCALE = 24.0  # per letter, keeps sums over segmentations near 1; the same for a
 FLOOR = 1e-7
 _LETTERS = re.compile(r"[^\W\d_]+")
 
-GUESS = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+PIECE_BYTES = 1 << 20  # of texts whose words are counted at once
+MARGIN, LEAST_LETTERS = 3.0, 20  # see ``keep_identified``
+
+GUESS = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                      T.StructField("letters", T.LongType()), T.StructField("fit", T.DoubleType())])
+GUESS_ARROW = list(to_arrow_schema(GUESS))
 
 
 def load_pieces(path: str = VOCABULARY) -> list[str]:
@@ -61,28 +68,42 @@ class Lattice:
     def __init__(self, pieces: list[str]):
         self.trie = ahocorasick.Automaton()
         for i, p in enumerate(pieces):
-            self.trie.add_word(p, (i, len(p)))
+            self.trie.add_word(p, i)
         self.trie.make_automaton()
-        self.single = {p for p in pieces if len(p) == 1}
+        self.size = np.array([len(p) for p in pieces], np.int64)
         self.unknown = len(pieces)  # index of the floor probability
 
     def edges(self, words: list[str]):
-        """(word, start, end, piece) of every match, ordered by end, and the words' lengths."""
-        word, start, end, piece = [], [], [], []
-        for w, text in enumerate(words):
-            for last, (i, n) in self.trie.iter(text):
-                word.append(w)
-                start.append(last + 1 - n)
-                end.append(last + 1)
-                piece.append(i)
-            for at, c in enumerate(text):
-                if c not in self.single:
-                    word.append(w)
-                    start.append(at)
-                    end.append(at + 1)
-                    piece.append(self.unknown)
-        cols = np.array([word, start, end, piece], dtype=np.int64)
-        return cols, np.array([len(t) for t in words], dtype=np.int64)
+        """(word, start, end, piece) of every match and the words' lengths."""
+        joined, offsets, lengths, end, piece = vocabulary_matches(self.trie, words)
+        start = end - self.size[piece]
+        text_at = np.repeat(np.arange(len(words)), lengths + 1)
+        strange = np.ones(len(joined) + 1, bool)  # places after a character that is no piece
+        strange[end[end - start == 1]] = False
+        strange[offsets] = False
+        at = np.flatnonzero(strange[:len(text_at)])
+        start, end = np.concatenate([start, at - 1]), np.concatenate([end, at])
+        word = text_at[end] if len(end) else end
+        cols = np.array([word, start - offsets[word], end - offsets[word], np.concatenate([piece, np.full(len(at), self.unknown)])])
+        return cols, lengths
+
+    def log_sum(self, word: str, prob: np.ndarray) -> np.ndarray:
+        """Log of the summed probability of all segmentations of a word of any length, per language. Keeps
+        the places that a piece can reach back to, rescaled at every place."""
+        (_, start, end, piece), _ = self.edges([word])
+        order = np.argsort(end, kind="stable")
+        start, piece = start[order], piece[order]
+        cut = np.searchsorted(end[order], np.arange(1, len(word) + 2))
+        width = int(self.size.max(initial=1)) + 1
+        sums, scale = np.zeros((width, prob.shape[1])), np.zeros(prob.shape[1])
+        sums[0] = 1.0
+        for place in range(1, len(word) + 1):
+            a, b = cut[place - 1], cut[place]
+            now = (sums[start[a:b] % width] * prob[piece[a:b]]).sum(axis=0)
+            sums[place % width] = now
+            sums /= now
+            scale += np.log(now)
+        return scale
 
     @staticmethod
     def forward(cols: np.ndarray, lengths: np.ndarray, prob: np.ndarray, back: bool = False) -> np.ndarray:
@@ -121,13 +142,14 @@ def marked(word: str) -> list[str]:
     return [text[i:i + PART] for i in range(0, len(text), PART)]
 
 
-def learn(labelled: DataFrame, pieces: list[str], per_lang: int = PER_LANG, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
-    """(languages, probabilities[piece, language]) from rows (doc_id, text, lang). Gathers at most
-    languages x pieces sums on the driver in each round."""
+def learn(labelled: DataFrame, pieces: list[str], per_lang: int = PER_LANG, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(languages, probabilities[piece, language], log-likelihood per letter of the learned texts of each language
+    before the last round) from rows (doc_id, text, lang). Gathers at most languages x pieces sums on the
+    driver in each round."""
     sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
-        return [], np.zeros((len(pieces), 0))
+        return [], np.zeros((len(pieces), 0)), np.zeros(0)
     share = F.create_map(*(x for k in langs for x in (F.lit(k), F.lit(min(1.0, per_lang / sizes[k])))))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     chosen = labelled.where(draw < share[F.col("lang")]).select("lang", "text")
@@ -150,13 +172,14 @@ def learn(labelled: DataFrame, pieces: list[str], per_lang: int = PER_LANG, roun
                              T.StructField("n", T.DoubleType())])
     sc = labelled.sparkSession.sparkContext
     prob = np.full((len(pieces), len(langs)), 1.0 / len(pieces))
+    fit = np.zeros(len(langs))
     for _ in range(rounds):
         shared = sc.broadcast((pieces, scaled(pieces, prob)))
 
         def expect(batches):
             names, p = shared.value
             lattice = Lattice(names)
-            total = np.zeros((len(names) + 1, p.shape[1]))
+            total = np.zeros((len(names) + 3, p.shape[1]))  # the last two: log-likelihood, letters
             for batch in batches:
                 text = batch.column(1).to_pylist()
                 lang = np.array([places[k] for k in batch.column(0).to_pylist()], dtype=np.int64)
@@ -169,21 +192,27 @@ def learn(labelled: DataFrame, pieces: list[str], per_lang: int = PER_LANG, roun
                 k = lang[w]
                 whole = ahead[w, lengths[w], k]
                 np.add.at(total, (i, k), ahead[w, s, k] * p[i, k] * behind[w, e, k] / whole * n[w])
-            at = np.nonzero(total[:-1])
+                mine = np.log(ahead[np.arange(len(text)), lengths, lang]) - lengths * np.log(SCALE)
+                np.add.at(total[-2], lang, mine * n)
+                np.add.at(total[-1], lang, (lengths - [t[0] == MARK for t in text]) * n)
+            total[-3] = 0.0  # the floor is fixed
+            at = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at[0].astype(np.int32)), pa.array(at[1].astype(np.int32)), pa.array(total[at])],
                 names=["piece", "lang", "n"])
 
         rows = (words.mapInArrow(expect, expected).groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow())
-        sums = np.zeros_like(prob)
+        sums = np.zeros((len(pieces) + 3, len(langs)))
         sums[rows.column("piece").to_numpy(), rows.column("lang").to_numpy()] = rows.column("n").to_numpy()
-        sums += 0.01
+        fit = sums[-2] / np.maximum(sums[-1], 1)
+        sums = sums[:-3] + 0.01
         prob = sums / sums.sum(axis=0)
-    return langs, prob
+    return langs, prob, fit
 
 
 def guess(docs: DataFrame, langs: list[str], pieces: list[str], prob: np.ndarray, name: str, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``name`` (lang_pred, score)."""
+    """``docs`` with a struct column ``name``: lang_pred, score, letters, and the log-likelihood per letter
+    under the predicted language (fit)."""
     shared = docs.sparkSession.sparkContext.broadcast((langs, pieces, scaled(pieces, prob) if langs else None))
 
     def make():
@@ -194,44 +223,48 @@ def guess(docs: DataFrame, langs: list[str], pieces: list[str], prob: np.ndarray
 
         def learn_words(new: list[str]) -> None:
             nonlocal scores
-            parts = [(w, part) for w in new for part in marked(w)]
-            parts.sort(key=lambda x: len(x[1]))
+            new.sort(key=len)
             total = np.zeros((len(new), len(langs)))
-            where = {w: i for i, w in enumerate(new)}
-            for a in range(0, len(parts), 4000):
-                some = parts[a:a + 4000]
-                cols, lengths = lattice.edges([x for _, x in some])
-                whole = lattice.forward(cols, lengths, p)[np.arange(len(some)), lengths]
-                np.add.at(total, [where[w] for w, _ in some], np.log(whole))
-            for w in new:
-                known[w] = len(known)
+            usual = sum(len(w) < PART for w in new)
+            for a in range(0, usual, 4000):
+                some = [MARK + w for w in new[a:min(usual, a + 4000)]]
+                cols, lengths = lattice.edges(some)
+                total[a:a + len(some)] = np.log(lattice.forward(cols, lengths, p)[np.arange(len(some)), lengths])
+            for a in range(usual, len(new)):
+                total[a] = lattice.log_sum(MARK + new[a], p)
+            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             scores = np.concatenate([scores, total])
 
-        def fn(column):
+        def some_texts(column):
             nonlocal scores
             texts = [Counter(text_words(t)) for t in column.to_pylist()]
             if len(known) > KNOWN_WORDS:
                 known.clear()
                 scores = scores[:0]
             if langs:
-                new = {w for c in texts for w in c if w not in known}
+                new = list({w: None for c in texts for w in c if w not in known})
                 if new:
-                    learn_words(sorted(new))
-            best, value = [], []
+                    learn_words(new)
             for c in texts:
                 if not c or not langs:
-                    best.append("und")
-                    value.append(0.0)
+                    yield "und", 0.0, 0, None
                     continue
                 at = np.fromiter(map(known.__getitem__, c), dtype=np.int64, count=len(c))
-                total = np.fromiter(c.values(), dtype=np.float64, count=len(c)) @ scores[at]
+                times = np.fromiter(c.values(), dtype=np.float64, count=len(c))
+                letters = int(np.fromiter(map(len, c), np.int64, len(c)) @ times)
+                total = times @ scores[at]
                 k = int(total.argmax())
-                best.append(langs[k])
-                value.append(float(1.0 / np.exp(total - total[k]).sum()))
-            return {"lang_pred": best, "score": value}
+                # the scale of a letter or mark taken out again
+                fit = (total[k] - np.log(SCALE) * (letters + times.sum())) / letters
+                yield langs[k], float(1.0 / np.exp(total - total[k]).sum()), letters, float(fit)
+
+        def fn(column):
+            rows = [r for some in byte_slices(column, PIECE_BYTES) for r in some_texts(some)]
+            cols = list(zip(*rows, strict=True)) or [()] * len(GUESS)
+            return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cols, GUESS_ARROW, strict=True)], fields=GUESS_ARROW)
         return fn
 
-    return append_columns(docs, text, GUESS, name, make)
+    return docs.withColumn(name, arrow_column(GUESS, make, F.col(f"`{text}`")))
 
 
 def held_out(doc_id) -> Column:
@@ -240,24 +273,30 @@ def held_out(doc_id) -> Column:
 
 
 def learn_from(docs: DataFrame, vocabulary: str = VOCABULARY, per_lang: int = PER_LANG):
-    """(languages, pieces, probabilities) learned from the labelled rows that are not held out."""
+    """(languages, pieces, probabilities, usual fits) learned from the labelled rows that are not held out."""
     pieces = load_pieces(vocabulary)
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    langs, prob = learn(labelled.select("doc_id", "text", "lang"), pieces, per_lang)
-    return langs, pieces, prob
+    langs, prob, fit = learn(labelled.select("doc_id", "text", "lang"), pieces, per_lang)
+    return langs, pieces, prob, fit
 
 
 def identify(docs: DataFrame, vocabulary: str = VOCABULARY, per_lang: int = PER_LANG) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang): doc_id, held_out, lang_pred, score."""
-    langs, pieces, prob = learn_from(docs, vocabulary, per_lang)
+    langs, pieces, prob, _ = learn_from(docs, vocabulary, per_lang)
     got = fresh("guess")
     return (guess(docs.select("doc_id", "text"), langs, pieces, prob, got)
             .select("doc_id", held_out("doc_id").alias("held_out"), f"{got}.lang_pred", f"{got}.score"))
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5, vocabulary: str = VOCABULARY) -> DataFrame:
-    """The rows of ``docs`` whose language is identified with a score of ``min_score`` or more, their
-    columns as they were."""
-    langs, pieces, prob = learn_from(docs, vocabulary)
+def keep_identified(docs: DataFrame, min_score: float = 0.5, vocabulary: str = VOCABULARY, margin: float = MARGIN) -> DataFrame:
+    """The rows of ``docs`` whose language is identified, their columns as they were: the score is
+    ``min_score`` or more, and a text of LEAST_LETTERS letters or more fits its language, which means
+    that its log-likelihood per letter is at most ``margin`` less than that of the language's learned
+    texts (letter junk falls short by more)."""
+    langs, pieces, prob, usual = learn_from(docs, vocabulary)
     got = fresh("guess")
-    return guess(docs, langs, pieces, prob, got).where(F.col(got)["score"] >= min_score).drop(got)
+    least = F.lit(None).cast("double")
+    for k, fit in zip(langs, usual.tolist(), strict=True):
+        least = F.when(F.col(got)["lang_pred"] == k, fit - margin).otherwise(least)
+    fits = (F.col(got)["letters"] < LEAST_LETTERS) | (F.col(got)["fit"] >= least)
+    return guess(docs, langs, pieces, prob, got).where((F.col(got)["score"] >= min_score) & fits).drop(got)

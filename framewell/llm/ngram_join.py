@@ -23,7 +23,7 @@ Two texts link when ``100 * intersection >= percent * union`` of their sets of d
 
 Null and wordless texts have an empty set and link with nothing (component = own
 id); repeated rows are one class. A null doc_id links with nothing and has a null
-component. Other columns are not read.
+component; doc_id is a whole number. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,12 +33,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from framewell.llm.common import connected_components, fresh, map_batches, materialise
+from framewell.llm.common import SMALL_BATCH_BYTES, arrow_column, bound_batches, connected_components, fresh, map_batches, materialise
 
 N, PERCENT = 5, 80
 SKETCH_BITS = 18  # counters of the ordering sketch: 2^18, whatever the input
@@ -46,7 +46,8 @@ BITMAP_BITS = 26  # cells of an id bitmap: 2^26 bits = 8 MB, whatever the input
 STRIDE, LOOK = 128, 12  # trie nodes walked between two looks at the bound, for one probe and for many
 PAIR_LIST = 96  # lists of more members are joined in trie blocks, not as pairs of rows
 CHUNK = 400  # candidate sets of one probe that are walked in one trie
-PIECE_BYTES = 1 << 20  # bytes hashed at once
+CHUNK_SHINGLES = 200_000  # shingles of the sets that are walked in one trie, but for a longer single set
+PIECE_BYTES = 1 << 18  # bytes hashed at once
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
@@ -186,21 +187,29 @@ def _is_set(bitmap: np.ndarray, hashes: pa.Array) -> pa.Array:
     return pa.array((bitmap[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1)
 
 
-def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text, keep) of the rows of ``docs``; keep is false where the id surely isn't in ``ids``.
-    The text of such rows is nulled before it reaches Python."""
+def _in_bitmap(bitmap: np.ndarray, docs: DataFrame, *salt: int) -> Column:
+    """Whether the cell of a row's doc_id is set."""
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap)
+    return arrow_column(T.BooleanType(), lambda: lambda hashes: _is_set(bits.value, hashes),
+                        F.xxhash64(F.col("doc_id").cast("long"), *map(F.lit, salt)))
+
+
+def _map_wanted(docs: DataFrame, ids: DataFrame, schema: T.StructType, make) -> DataFrame:
+    """``map_batches`` over (id, text) of the rows of ``docs`` whose id's cell is set in a bitmap of ``ids``: those in
+    ``ids`` and few more. The test is part of the same Python stage, so a task needs one worker."""
     bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
-    arrow = to_arrow_schema(schema)
 
-    def run(batches):
-        words = bits.value
-        for batch in batches:
-            keep = _is_set(words, batch.column(2))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()).filter(keep), batch.column(1).filter(keep)], schema=arrow)
+    def make_some():
+        fn = make()
 
-    return docs.where("doc_id is not null and text is not null").select(
-        "doc_id", "text", F.xxhash64(F.col("doc_id").cast("long"))).mapInArrow(run, schema)
+        def some(batch):
+            keep = _is_set(bits.value, batch.column(2))
+            rows = pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()).filter(keep), batch.column(1).filter(keep)], names=["id", "text"])
+            return fn(rows) if len(rows) else ()
+        return some
+
+    rows = docs.where("doc_id is not null and text is not null").select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("long")))
+    return map_batches(rows, schema, make_some)
 
 
 def _rarest_first(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -213,11 +222,11 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def prefixes(texts: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(token, id, size): the rarest shingles of every text, of which a link cannot miss all."""
+def prefixes(docs: DataFrame, ids: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
+    """(token, id, size): the rarest shingles of every text of ``ids``, of which a link cannot miss all."""
     schema = T.StructType([T.StructField("token", T.LongType()), T.StructField("id", T.LongType()),
                            T.StructField("size", T.IntegerType())])
-    shared = texts.sparkSession.sparkContext.broadcast(levels)
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def make():
         lv = shared.value
@@ -232,17 +241,17 @@ def prefixes(texts: DataFrame, levels: np.ndarray, n: int, percent: int) -> Data
                        "size": pa.array(np.repeat(np.array([len(s) for s in sets], dtype=np.int32), lens))}
         return fn
 
-    return map_batches(texts, schema, make)
+    return _map_wanted(docs, ids, schema, make)
 
 
-def shingle_sets(texts: DataFrame, n: int) -> DataFrame:
-    """(id, shingles) of the given texts."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, shingles) of the texts of ``ids``, and of few more."""
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
     def make():
         return lambda batch: [{"id": batch.column(0), "shingles": [s.tobytes() for s in batch_shingles(batch.column(1), n)]}]
 
-    return map_batches(texts, schema, make)
+    return _map_wanted(docs, ids, schema, make)
 
 
 def trie_matches(probe: np.ndarray, sets: list[np.ndarray], levels: np.ndarray, percent: int) -> list[int]:
@@ -274,13 +283,18 @@ def trie_matches(probe: np.ndarray, sets: list[np.ndarray], levels: np.ndarray,
     return out
 
 
+def _parts(count: Column, shingles: Column) -> Column:
+    """How many parts to deal sets to, so that each has about CHUNK sets and CHUNK_SHINGLES shingles at most."""
+    return (F.floor(F.greatest(count / CHUNK, shingles / CHUNK_SHINGLES)) + 1).cast("int")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) of ids whose texts link. Grouped by probe ``a`` in chunks of about CHUNK
-    sets, so the candidates of one probe never meet in one task as a whole."""
-    degree = pairs.groupBy("a").agg((F.floor(F.count("*") / CHUNK) + 1).alias("chunks"))
+    """The pairs of ids whose texts link, of ``pairs`` (a, b, size of b's set). Grouped by probe ``a`` in chunks
+    of bounded sets and shingles, so the candidates of one probe never meet in one task as a whole."""
+    degree = pairs.groupBy("a").agg(_parts(F.count("*"), F.sum("sb")).alias("chunks"))
     dealt = materialise(pairs.join(degree, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")))
                         .select("a", "b", "chunk"), "jaccard")
-    sets = shingle_sets(_wanted(docs, dealt.select(F.explode(F.array("a", "b")).alias("id"))), n)
+    sets = shingle_sets(docs, dealt.select(F.explode(F.array("a", "b")).alias("id")), n)
     # the probe stands in its group as the row whose id is a
     members = dealt.select("a", "chunk", F.col("b").alias("id")).unionAll(dealt.select("a", "chunk", F.col("a").alias("id")).distinct())
     shared = pairs.sparkSession.sparkContext.broadcast(levels)
@@ -308,7 +322,7 @@ def _reachable(x: str, y: str, shared: str, percent: int):
 def link_heads(docs: DataFrame, heads: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
     """(node, component) of every id of ``heads`` (one column) whose text links with another's."""
     # dealt by token once: the ends of every list and the join with them reuse that exchange
-    post = prefixes(_wanted(docs, heads), levels, n, percent).repartition("token")
+    post = prefixes(docs, heads, levels, n, percent).repartition("token")
     ends = (post.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high"),
                                       F.min_by("size", "id").alias("low_size"), F.max_by("size", "id").alias("high_size"))
             .where("low != high"))
@@ -320,7 +334,7 @@ def link_heads(docs: DataFrame, heads: DataFrame, levels: np.ndarray, n: int, pe
                                                      F.struct(F.col("high").alias("a"), F.col("high_size").alias("sa")))).alias("end"))
         .where("id != end.a").groupBy("end.a", F.col("id").alias("b"))
         .agg(F.first("end.sa").alias("sa"), F.first("size").alias("sb"), F.count("*").alias("shared"))
-        .where(_reachable("sa", "sb", "shared", percent)).select("a", "b"), "jaccard")
+        .where(_reachable("sa", "sb", "shared", percent)).select("a", "b", "sb"), "jaccard")
     links = verify(stars, docs, levels, n, percent)
     first = materialise(connected_components(links), "jaccard")
 
@@ -334,33 +348,33 @@ def link_heads(docs: DataFrame, heads: DataFrame, levels: np.ndarray, n: int, pe
              .select("token", (F.col("band") + F.col("step")).alias("band"), "id", "size", "comp", (F.col("step") == 1).alias("low"))
              .repartition("token", "band"))
     mixed = (named.groupBy("token", "band").agg(
-        F.min("comp").alias("lc"), F.max("comp").alias("hc"), F.min("low").alias("all_low"), F.count("*").alias("n"),
+        F.min("comp").alias("lc"), F.max("comp").alias("hc"), F.min("low").alias("all_low"), F.count("*").alias("n"), F.sum("size").alias("shingles"),
         F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum"), F.min("id").alias("li"), F.max("id").alias("hi"))
         .where("lc != hc and not all_low"))
-    open_ = materialise(named.join(mixed.select("token", "band", "n", "sum", "li", "hi"), ["token", "band"]), "jaccard")
+    open_ = materialise(named.join(mixed.select("token", "band", "n", "shingles", "sum", "li", "hi"), ["token", "band"]), "jaccard")
     short = open_.where(F.col("n") <= PAIR_LIST)
     one = short.select("token", "band", F.col("comp").alias("c1"), F.col("id").alias("a"), F.col("size").alias("sa"), F.col("low").alias("la"))
     two = short.select("token", "band", F.col("comp").alias("c2"), F.col("id").alias("b"), F.col("size").alias("sb"), F.col("low").alias("lb"))
     across = (one.join(two, ["token", "band"]).where("c1 < c2 and a != b and not (la and lb)")
               .where(F.least("sa", "sb") * 100 >= F.greatest("sa", "sb") * percent)
               .groupBy("a", "b").agg(F.first("sa").alias("sa"), F.first("sb").alias("sb"), F.count("*").alias("shared"))
-              .where(_reachable("sa", "sb", "shared", percent)).select("a", "b"))
+              .where(_reachable("sa", "sb", "shared", percent)).select("a", "b", "sb"))
     more = verify(materialise(across, "jaccard"), docs, levels, n, percent)
     # of the long lists that have the same members one stays
     same = ["band", "n", "sum", "li", "hi"]
     one_of = open_.where(F.col("n") > PAIR_LIST).groupBy(*same).agg(F.min("token").alias("token"))
     long_ = materialise(open_.join(one_of.select("token", "band"), ["token", "band"], "left_semi")
-                        .select("token", "band", "id", "comp", "low", "n"), "jaccard")
+                        .select("token", "band", "id", "comp", "low", "n", "shingles"), "jaccard")
     return connected_components(links.unionAll(more).unionAll(block_links(long_, docs, levels, n, percent)))
 
 
 def block_links(lists: DataFrame, docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
     """Links (a, b) between sets of different components that share a long list (token, band, id,
-    comp, low, n). A list is dealt into blocks of about CHUNK members; every two blocks meet
-    once, one as the trie, the other as its probes. Of the links found, a spanning forest is
-    returned."""
-    sets = shingle_sets(_wanted(docs, lists.select("id")), n)
-    held = (lists.withColumn("blocks", (F.floor(F.col("n") / CHUNK) + 1).cast("int"))
+    comp, low, n, shingles). A list is dealt into blocks of bounded members and shingles; every two
+    blocks meet once, one as the trie, the other as its probes. Of the links found, a spanning
+    forest is returned."""
+    sets = shingle_sets(docs, lists.select("id"), n)
+    held = (lists.withColumn("blocks", _parts(F.col("n"), F.col("shingles")))
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("token", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "comp", "low"))
@@ -395,7 +409,7 @@ def trie_join(probes: list[np.ndarray], sets: list[np.ndarray], probe_comp: np.n
     first = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(tokens)))]).tolist()
     ordered = [_rarest_first(s, levels)[::-1] for s in sets]
     keys = [o.astype(">u8").tobytes() for o in ordered]
-    branch, path = np.empty(0, dtype=np.uint64), [np.zeros(len(probes), dtype=np.int64)]
+    branch, path = np.empty(0, dtype=np.uint64), [np.zeros(len(probes), dtype=np.int32)]
     for j in sorted(range(len(ordered)), key=keys.__getitem__):
         o = ordered[j]
         size = len(o)
@@ -432,6 +446,7 @@ def trie_join(probes: list[np.ndarray], sets: list[np.ndarray], probe_comp: np.n
 def ngram_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, digest of the set (null if
     empty), component_id."""
+    bound_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     scanned = materialise(scan(docs, n), "jaccard")
     rows = scanned.where("cells is null").select("doc_id", "n_shingles", "digest")
     heads = materialise(rows.where("doc_id is not null and digest is not null")
@@ -444,21 +459,6 @@ def ngram_classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFr
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
-def _in_bitmaps(docs: DataFrame, names: list[str], bitmaps: list[np.ndarray]) -> DataFrame:
-    """``docs`` with a boolean column for each bitmap: whether the doc_id's cell is set. The k-th bitmap has salt k."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
-    out = T.StructType([*docs.schema.fields, *(T.StructField(x, T.BooleanType()) for x in names)])
-    arrow, n = to_arrow_schema(out), len(docs.columns)
-
-    def run(batches):
-        for batch in batches:
-            cols = [c.cast(f.type) for c, f in zip(batch.columns[:n], arrow, strict=False)]
-            yield pa.RecordBatch.from_arrays(cols + [_is_set(b, batch.column(n + k)) for k, b in enumerate(shared.value)], schema=arrow)
-
-    hashes = [F.xxhash64(F.col("doc_id").cast("long"), F.lit(k)).alias(fresh("hash")) for k in range(len(bitmaps))]
-    return docs.select("*", *hashes).mapInArrow(run, out)
-
-
 def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id isn't in ``gone`` (distinct long doc_id). Two bitmaps of fixed size
     settle most rows where they stand: an id in no cell of ``gone`` stays, one in such a cell goes unless
@@ -467,9 +467,9 @@ def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
     one, two = fresh("gone"), fresh("stays")
     first = id_bitmap(gone, 0)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
-    near = _in_bitmaps(ids, [one], [first]).where(one).select("doc_id")
+    near = ids.where(_in_bitmap(first, docs, 0))
     second = id_bitmap(near.join(gone.hint("merge"), "doc_id", "left_anti"), 1)
-    marked = _in_bitmaps(docs, [one, two], [first, second])
+    marked = docs.withColumn(one, _in_bitmap(first, docs, 0)).withColumn(two, _in_bitmap(second, docs, 1))
     unclear = marked.where(F.col("doc_id").isNotNull() & F.col(one) & F.col(two)).select(docs.columns)
     return (marked.where(F.col("doc_id").isNull() | ~F.col(one)).select(docs.columns)
             .unionAll(unclear.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)))
