@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewell.llm.common import bound_batches, materialise, table
+from framewell.llm.common import SMALL_BATCH_BYTES, bound_batches, materialise, table
 from framewell.llm.decontaminate import drop_contaminated
 from framewell.llm.lang_id import keep_identified
 from framewell.llm.mixing import with_rates
@@ -18,24 +18,26 @@ from framewell.llm.pseudonyms import with_pseudonyms
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter or without a clear language go."""
-    bound_batches(spark)
+    bound_batches(spark, SMALL_BATCH_BYTES)
     return keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked texts stays."""
-    bound_batches(spark)
+    bound_batches(spark, SMALL_BATCH_BYTES)
     return keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a benchmark window occurs go."""
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    benchmark = table(spark, sf_dir, "benchmark")
+    bound_batches(spark, SMALL_BATCH_BYTES)
+    return drop_contaminated(docs, benchmark)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data get pseudonyms; no document goes."""
-    bound_batches(spark)
+    bound_batches(spark, SMALL_BATCH_BYTES)
     return with_pseudonyms(docs)
 
 
