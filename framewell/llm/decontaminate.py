@@ -10,8 +10,10 @@ ids; all others are id 0, whose blocks always give the largest jump.
 Windows are searched in blocks of at most about ``block_windows`` (documented
 parameter), each block broadcast to its own pass over all texts, so nothing that
 grows with the benchmark is held at once. Null or wordless texts have no words and
-no hits; wordless or null items have no windows; repeated items, windows and rows
-each count as they stand. Item ids that share one text are expanded by a join.
+no hits; wordless or null items have no windows. A repeated item_id counts once a document, whatever texts it has;
+windows of items without an id hit but name no item; ids may be of any type and are
+sorted as strings. Repeated rows give equal rows; an empty table gives no rows, an empty benchmark no
+hits; only the named columns are read. Item ids that share one text are expanded by a join.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from framewell.llm.common import append_columns, fresh, map_batches, materialise, utf8
 
 WINDOW = 10
-BLOCK_WINDOWS = 500_000
+BLOCK_WINDOWS = 100_000  # about a million entries of shift tables in a worker
 
 # Lower-cases A-Z and turns every other ASCII byte that is no digit or letter into a
 # space; bytes of non-ASCII characters are word bytes.
@@ -45,19 +46,18 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(items, windows): items (item_id, rep) maps every item to the smallest item id of
-    its word sequence; windows (rep, win, wid) are the distinct windows of each rep."""
-    schema = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("seq", T.StringType())])
+    """(items, windows): items (item_id, rep) maps every item to the digest of its word sequence; windows
+    (rep, win, wid) are the distinct windows of each sequence."""
+    schema = T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType), T.StructField("seq", T.StringType())])
 
     def make():
         def fn(batch):
-            seq = [b" ".join(words(t)).decode("utf-8") for t in utf8(batch.column(1))]
-            return [{"item_id": batch.column(0).cast(pa.int64()), "seq": seq}]
+            return [{"item_id": batch.column(0), "seq": [b" ".join(words(t)).decode("utf-8") for t in utf8(batch.column(1))]}]
         return fn
 
-    seqs = map_batches(benchmark.select("item_id", "text"), schema, make).where("seq != '' and item_id is not null")
-    reps = materialise(seqs.groupBy("seq").agg(F.min("item_id").alias("rep")), "bench")
-    items = materialise(seqs.join(reps, "seq").select("item_id", "rep"), "bench")
+    seqs = map_batches(benchmark.select("item_id", "text"), schema, make).where("seq != ''").withColumn("rep", F.md5(F.col("seq").cast("binary")))
+    items = materialise(seqs.where("item_id is not null").select("item_id", "rep").distinct(), "bench")
+    reps = seqs.select("rep", "seq").distinct()
     cut = F.split("seq", " ")
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - window + 1)),
                         lambda i: F.concat_ws(" ", F.slice("w", i, window)))
@@ -200,7 +200,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         .select("doc_id", f"{hits}.*").withColumn(row, F.monotonically_increasing_id()), "decontaminate")
     listed = (found.where("size(windows) > 0").select(row, F.explode("windows").alias("wid"))
               .join(windows.select("wid", "rep"), "wid").select(row, "rep").distinct()
-              .join(items, "rep").groupBy(row)
+              .join(items, "rep").select(row, "item_id").distinct().groupBy(row)
               .agg(F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("item_ids")))
     return (found.join(listed, row, "left")
             .select("doc_id", "n_words", "n_hit", "spans",
