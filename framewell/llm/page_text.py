@@ -20,7 +20,8 @@ nothing to count: there short shared lines go if all that is shared is short. A
 all of whose lines are shared is a copy, not boilerplate: it keeps them.
 
 Null or empty html gives an empty text; repeated rows get equal texts; a null URL has no
-neighbour; other columns are not read.
+neighbour; pages and attributes of any length are read whole; an empty table gives no rows; other columns
+are not read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ import html as entities
 import re
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,8 +66,9 @@ OUTSIDE, PLAIN, ARTICLE, DOUBTFUL, INSIDE = 0, 1, 2, 3, 4  # what the markup say
 STAYS, MAYBE, GOES, HIDDEN = 0, 1, 2, 3  # what it says of an element: whether its text goes
 
 
-def _tag_end(page: str, at: int) -> int:
-    """Index after the tag that starts at ``at``: the next > outside quotes, or the next > at all."""
+def _tag_end(page: str, at: int, closed: dict[str, int]) -> int:
+    """Index after the tag that starts at ``at``: the next > outside quotes, or the next > at all. ``closed`` notes
+    for the page from where on a quote has none that closes it, so that this is searched once."""
     plain = page.find(">", at)
     end = plain
     pos = at
@@ -76,8 +77,9 @@ def _tag_end(page: str, at: int) -> int:
         if not quotes:
             return end + 1
         q = min(quotes) + 1
-        close = page.find(page[q], q + 1)
-        if close < 0 or close - at > 65536:
+        close = page.find(page[q], q + 1) if q < closed.get(page[q], len(page)) else -1
+        if close < 0:
+            closed[page[q]] = min(q, closed.get(page[q], q))
             break
         pos = close + 1
         if close > end:
@@ -127,6 +129,7 @@ def _dropped(name: str, tag: str) -> tuple[int, int]:
 def page_lines(page: str | None) -> list[tuple[str, int]]:
     """(text, OUTSIDE / PLAIN / ARTICLE / DOUBTFUL / INSIDE: doubtful in the article) of the text blocks of a page in order."""
     lines: list[tuple[str, int]] = []
+    closed: dict[str, int] = {}
     held: list[str] = []
     stack: list[tuple[str, int, bool]] = []  # open elements: name, whether the text goes, in the article
     if not page:
@@ -168,7 +171,7 @@ def page_lines(page: str | None) -> list[tuple[str, int]]:
                 held.append("<")
                 at = tag + 1
             continue
-        at = _tag_end(page, tag)
+        at = _tag_end(page, tag, closed)
         inner = page[tag + 1 + close:at - (page[at - 1] == ">")]
         name = re.match(r"[^\s/>]+", inner)[0].lower()
         if name in BLOCKS:
@@ -186,7 +189,7 @@ def page_lines(page: str | None) -> list[tuple[str, int]]:
         if name in RAW:
             if name == "noscript" or not inner.endswith("/"):
                 end = re.compile(f"</{re.escape(name)}[\\s/>]", re.I).search(page, at)
-                at = n if end is None else _tag_end(page, end.start())
+                at = n if end is None else _tag_end(page, end.start(), closed)
             continue
         if name in VOID or inner.endswith("/") and name not in BLOCKS:
             continue
