@@ -9,9 +9,11 @@ format: separators, lengths and check digits hold, so a valid card becomes anoth
 valid card. The permutation depends on key, kind and value alone, so equal values stay
 linked across documents, and whoever has the key can invert it.
 
-Text outside the values is untouched; a number that fails its validation stays. Null
-stays null, an empty text empty, any length is read whole; repeated rows give equal rows;
-other columns pass through.
+Text outside the values is untouched; a number that fails its validation stays, and so do dates with two-digit
+years or month names, credentials without quotes, IPv6 addresses and e-mail names before a domain with letters
+other than a-z. Of two values that overlap the one that starts first is replaced. Null stays null, an empty text empty, any
+length is read whole, values of any length are replaced whole; repeated rows give equal rows; an empty table gives
+no rows; other columns pass through.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ KEY = b"replace with a secret of your own"  # a parameter of every function belo
 _RUN = re.compile(r"[+(]?[0-9](?:[0-9 ().\-/]*[0-9])?")
 _NUMBER = re.compile(
     r"(?P<ipv4>(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9]))"
-    r"|(?P<iso>(?<![0-9])[0-9]{4}(?P<s1>[-/.])[0-9]{2}(?P=s1)[0-9]{2}(?![0-9]))"
-    r"|(?P<dmy>(?<![0-9])[0-9]{2}(?P<s2>[-/.])[0-9]{2}(?P=s2)[0-9]{4}(?![0-9]))"
+    r"|(?P<iso>(?<![0-9])[0-9]{4}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2}(?![0-9]))"
+    r"|(?P<dmy>(?<![0-9])[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4}(?![0-9]))"
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     r"|(?P<phone>\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
     r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
@@ -46,12 +48,15 @@ _NUMBER = re.compile(
     r"|[0-9]{4}(?P<s5>[ -])[0-9]{6}(?P=s5)[0-9]{5}|[0-9]{13,19})(?![0-9]))")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _LOCAL = re.compile(r"[\w.+%-]*[\w+%-]$")
+_LOCAL_PART = re.compile(r"[\w.+%-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}")
-_SECRET = re.compile(r"(?i)\b(?:token|secret|passw(?:or)?d|api[_-]?key)[ \t]{0,4}[=:][ \t]{0,4}([\"'])([A-Za-z0-9+/_=-]{8,512})\1")
+_SECRET = re.compile(r"(?i)\b(?:token|secret|passw(?:or)?d|api[_-]?key)[ \t]{0,4}[=:][ \t]{0,4}([\"'])([A-Za-z0-9+/_=.-]{8,})\1")
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _ACCENT = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ"
 _CLASS = {c: a for a in (_LOWER, _UPPER, _DIGIT, _ACCENT) for c in a}
+# Days of the years 1800 to 2199 are permuted among themselves, and so are all others.
 _DAY0, _DAYS = datetime.date(1800, 1, 1).toordinal(), datetime.date(2200, 1, 1).toordinal() - datetime.date(1800, 1, 1).toordinal()
+_OTHER_DAYS = datetime.date.max.toordinal() - _DAYS
 
 FOUND = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_found", T.LongType()),
                       T.StructField("kinds", T.MapType(T.StringType(), T.LongType())),
@@ -131,11 +136,12 @@ class Pseudonyms:
 
     def _day(self, kind: str, day: datetime.date, fits) -> datetime.date | None:
         v = day.toordinal() - _DAY0
-        if not 0 <= v < _DAYS:
-            return None
+        near = 0 <= v < _DAYS
+        if not near:
+            v = day.toordinal() - 1 if v < 0 else day.toordinal() - 1 - _DAYS
         while True:
-            v = self._turn(kind, _DAYS, v)
-            new = datetime.date.fromordinal(_DAY0 + v)
+            v = self._turn(kind if near else f"{kind} far", _DAYS if near else _OTHER_DAYS, v)
+            new = datetime.date.fromordinal(_DAY0 + v if near else v + 1 if v + 1 < _DAY0 else v + 1 + _DAYS)
             if fits(new):
                 return new
 
@@ -153,22 +159,31 @@ class Pseudonyms:
                 return None
             v = self._turn(kind, 1 << 32, int.from_bytes(bytes(parts), "big"))
             return ".".join(str(b) for b in v.to_bytes(4, "big"))
-        if kind == "iso":
+        if kind in ("iso", "dmy"):
+            parts = re.split("[-/.]", text)
+            sizes = [len(x) for x in parts]
+            padded = any(x[0] == "0" for x in parts if len(x) == 2)
+            month_first = kind == "dmy" and int(parts[0]) <= 12
+            places = (0, 1, 2) if kind == "iso" else (2, 0, 1) if month_first else (2, 1, 0)  # of year, month, day
             try:
-                day = datetime.date(int(digits[:4]), int(digits[4:6]), int(digits[6:]))
+                day = datetime.date(*(int(parts[i]) for i in places))
             except ValueError:
                 return None
-            new = self._day("date", day, lambda d: True)
-            return new and _refill(text, new.strftime("%Y%m%d").rjust(8, "0"))
-        if kind == "dmy":
-            month_first = int(digits[:2]) <= 12
-            d, m = (digits[2:4], digits[:2]) if month_first else (digits[:2], digits[2:4])
-            try:
-                day = datetime.date(int(digits[4:]), int(m), int(d))
-            except ValueError:
+
+            def written(d: datetime.date) -> list[str] | None:
+                """The date's parts in the same form: a part of one digit stays one, of two digits two; beside a part
+                of one digit a leading zero stays one."""
+                out = ["", "", ""]
+                for i, x in zip(places, (d.year, d.month, d.day), strict=True):
+                    out[i] = f"{x:0{sizes[i]}d}"
+                same = [len(x) for x in out] == sizes and (kind == "iso" or month_first or d.day > 12)
+                mixed = min(sizes) == 1 and padded != any(out[i][0] == "0" for i in places[1:])
+                return out if same and not mixed else None
+
+            if written(day) != parts:
                 return None
-            new = self._day("date", day, lambda x: month_first or x.day > 12)
-            return new and _refill(text, new.strftime("%m%d%Y" if month_first else "%d%m%Y"))
+            new = written(self._day("date", day, written))
+            return _refill(text, "".join(new))
         if kind == "ssn":
             area, group, serial = digits[:3], digits[3:5], digits[5:]
             if area in ("000", "666") or area >= "900" or group == "00" or serial == "0000":
@@ -199,7 +214,10 @@ class Pseudonyms:
         found = []
         at = text.find("@")
         while at >= 0:
-            near = _LOCAL.search(text[max(0, at - 64):at])
+            start = max(0, at - 64)
+            while start > 0 and _LOCAL_PART.match(text, start):
+                start -= 1  # a longer one; texts between two @ are searched once
+            near = _LOCAL.search(text[start:at])
             if near and near[0][0] != "." and _DOMAIN.match(text, at + 1):
                 found.append((at - len(near[0]), at, "email", near[0]))
             at = text.find("@", at + 1)
