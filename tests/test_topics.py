@@ -260,3 +260,16 @@ def test_a_burst_with_an_outlier_is_cut_evenly(spark):
     for device in ("hot", "cold", None):
         mine = sorted((r for r in rows if r[1] == device), key=lambda r: (r[2] is not None, r[2] or t0, r[0]))
         assert [got[r[0]] for r in mine] == list(range(len(mine)))
+
+
+# ---- console
+
+def test_console_sinks_print_rows(spark, tmp_path, capsys):
+    from framewell.sinks.tables import console
+    from framewell.sinks.topics import console_stream
+    console(spark.range(3).withColumnRenamed("id", "printed_id"))
+    assert "printed_id" in capsys.readouterr().out
+    append_topic(numbers(spark, 0, 5), str(tmp_path / "t"))
+    q = console_stream(read_topic_rows(spark, str(tmp_path / "t"), "earliest"), str(tmp_path / "ck"), {"availableNow": True})
+    q.awaitTermination()
+    assert q.lastProgress["numInputRows"] == 5
