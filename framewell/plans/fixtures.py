@@ -22,9 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frame messages from ``events``; event_id is the arrival order."""
+def frames(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
+    """Frame messages from ``events``; event_id is the arrival order. With ``ordered`` the frame's partitions and
+    rows lie in that order; the stored columns are sorted, what is derived from them is derived after it."""
     ev = table(spark, sf_dir, "events")
+    if ordered:
+        ev = ev.repartitionByRange("event_id").sortWithinPartitions("event_id")
     device = F.concat(F.lit("cam"), (F.col("user_id") % 8).cast("string"))
     return ev.select(
         "event_id",
@@ -46,13 +49,13 @@ def frame_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat("device_id", F.lit("/"), "name").alias("img_path"))
 
 
-def topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames as JSON text on a topic-like table (partition, offset, value).
+def topic(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
+    """Frames as JSON text on a topic-like table (partition, offset, value), ``ordered`` by offset or as they come.
 
     Faults by ``event_id % 50``: 0 truncated JSON, 1 quoted timestamp,
     2 missing name, 3 malformed base64.
     """
-    f = frames(spark, sf_dir)
+    f = frames(spark, sf_dir, ordered)
     code = F.col("event_id") % 50
     body = F.struct(
         "device_id",

@@ -3,6 +3,7 @@ several partitions."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from framewell.functions.timefmt import as_ntz
@@ -97,18 +98,32 @@ last AS (SELECT name, device_id, img_path, event_datetime FROM meta WHERE event_
          QUALIFY row_number() OVER (PARTITION BY name ORDER BY event_id DESC) = 1)
 SELECT n_partitions, last.* FROM last CROSS JOIN (VALUES (1), (4), (9)) AS t(n_partitions)""")
 def q_stream_upsert_partitions(spark, d):
-    """K1/J2/T-W3: one topic in 1, 4 and 9 partitions, keyed by frame name and read by rows, gives one table."""
+    """K1/J2/T-W3: one topic in 1, 4 and 9 partitions, keyed by frame name and read by rows, gives one table.
+
+    The messages are put in order and made once, every topic is written from them without another shuffle; the
+    three consumers run side by side."""
+    key = F.coalesce(F.get_json_object("value", "$.name"), F.lit(""))
+    topic = fx.topic(spark, d, ordered=True).select("offset", "value", key.alias("_key")).persist(StorageLevel.DISK_ONLY)
+    bases = {n: scratch_path(spark, "stream_upsert_partitions") for n in (1, 4, 9)}
+    try:
+        limit = max(100, -(-topic.count() // 2))
+        for n, base in bases.items():
+            append_topic(topic, f"{base}/topic", "_key", partition=F.pmod(F.xxhash64("_key"), F.lit(n)), value="value")
+    finally:
+        topic.unpersist()
+    running: list = []
+    try:
+        for base in bases.values():
+            src = read_topic_rows(spark, f"{base}/topic", "earliest", limit)
+            running.append(ingest_frames(spark, src, f"{base}/images", f"{base}/blobs", f"{base}/rejects", n_buckets=8,
+                                         trigger={"processingTime": "0 seconds"}))
+        for q in running:
+            _until(q, None)
+    finally:
+        for q in running:  # none goes on after another has failed
+            q.stop()
     out = None
-    topic = fx.topic(spark, d).select("offset", "value", F.coalesce(F.get_json_object("value", "$.name"), F.lit("")).alias("_key"))
-    limit = max(100, -(-topic.count() // 2))
-    for n in (1, 4, 9):
-        base = scratch_path(spark, "stream_upsert_partitions")
-        part = F.pmod(F.xxhash64("_key"), F.lit(n)).cast("int")
-        append_topic(topic.withColumn("_p", part).repartitionByRange("_p", "offset").sortWithinPartitions("_p", "offset"),
-                     f"{base}/topic", "_key", partition=F.col("_p"), value="value")
-        src = read_topic_rows(spark, f"{base}/topic", "earliest", limit)
-        _until(ingest_frames(spark, src, f"{base}/images", f"{base}/blobs", f"{base}/rejects", n_buckets=8,
-                             trigger={"processingTime": "0 seconds"}), None)
+    for n, base in bases.items():
         t = read_keyed_table(spark, f"{base}/images").select(
             F.lit(n).alias("n_partitions"), "name", "device_id", "img_path", as_ntz("event_datetime").alias("event_datetime"))
         out = t if out is None else out.unionAll(t)

@@ -273,3 +273,81 @@ def test_console_sinks_print_rows(spark, tmp_path, capsys):
     q = console_stream(read_topic_rows(spark, str(tmp_path / "t"), "earliest"), str(tmp_path / "ck"), {"availableNow": True})
     q.awaitTermination()
     assert q.lastProgress["numInputRows"] == 5
+
+
+# ---- one topic in several partition counts
+
+def _event_table(spark, folder, n=600):
+    """Events in no order; every key comes several times, some rows come twice, some lack a key."""
+    t0 = datetime(2024, 1, 1)
+    rows = [(i, t0 + timedelta(seconds=i), i % 11, "view", 1.0, None if i % 7 == 0 else json.dumps({"k": i % 13})) for i in range(n)]
+    rows += rows[::40]
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    df.repartition(5).write.parquet(f"{folder}/events.parquet")
+    last = {}
+    for i, ts, user, _, _, props in sorted(rows, key=lambda r: r[0]):
+        if props and i % 50 not in (0, 2, 3):
+            last[f"cam{user % 8}_{json.loads(props)['k']}.jpg"] = ts
+    return last
+
+
+def test_topics_of_all_partition_counts_come_from_one_ordered_copy(spark, tmp_path, monkeypatch):
+    from framewell.plans import q_topics
+    last = _event_table(spark, str(tmp_path))
+    seen, active, stored = [], [], set(spark.sparkContext._jsc.getPersistentRDDs())
+
+    def append(df, path, *args, **more):
+        seen.append((path, df._jdf.queryExecution().withCachedData().toString()))
+        return append_topic(df, path, *args, **more)
+
+    def until(q, batches):
+        active.append(len(spark.streams.active))
+        return was(q, batches)
+
+    was = q_topics._until
+    monkeypatch.setattr(q_topics, "append_topic", append)
+    monkeypatch.setattr(q_topics, "_until", until)
+    got = {}
+    for r in q_topics.q_stream_upsert_partitions(spark, str(tmp_path)).collect():
+        assert got.setdefault((r.n_partitions, r.name), r.event_datetime) == r.event_datetime
+    assert got == {(n, name): ts for n in (1, 4, 9) for name, ts in last.items()}
+    assert len(seen) == 3 and active == [3, 2, 1] and not spark.streams.active
+    for n, (path, plan) in zip((1, 4, 9), seen, strict=True):
+        # derived and sorted once, then only read
+        assert plan.startswith("InMemoryRelation")
+        rows = topic_rows(spark, path).select("partition", "offset", "key", F.get_json_object("value", "$.timestamp").cast("double").alias("t")).collect()
+        assert len(rows) == 615 and {r.partition for r in rows} <= set(range(n))
+        keys = {}
+        for r in rows:
+            assert keys.setdefault(r.key, r.partition) == r.partition
+        for p in range(n):
+            mine = sorted((r.offset, r.t) for r in rows if r.partition == p)
+            assert [o for o, _ in mine] == list(range(len(mine)))
+            times = [t for _, t in mine if t is not None]
+            assert times == sorted(times)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= stored  # the copy is given back
+
+
+def test_ingest_reads_the_source_once_and_skips_empty_batches(spark, tmp_path):
+    from framewell.plans import fixtures as fx
+    from framewell.streaming.ingest import ingest_frames
+    _event_table(spark, str(tmp_path))
+    append_topic(fx.topic(spark, str(tmp_path)), f"{tmp_path}/topic", partition=F.col("offset") % 4, value="value")
+    for kept in (615, 0):
+        base = f"{tmp_path}/{kept}"
+
+        def tick(offset, log=f"{base}.read", kept=kept):
+            with open(log, "a") as f:  # also of tasks that are broken off
+                f.write(".")
+            return kept > 0
+
+        src = read_topic_rows(spark, f"{tmp_path}/topic", "earliest").where(F.udf(tick, "boolean")("offset"))
+        drain(ingest_frames(spark, src, f"{base}/images", f"{base}/blobs", f"{base}/rejects", f"{base}/checkpoint", NOW, 4, f"{base}/metrics"))
+        assert os.path.getsize(f"{base}.read") == 615
+        if kept:
+            m = spark.read.parquet(f"{base}/metrics").first()
+            assert (m.n_rows, m.n_rejects) == (615, spark.read.parquet(f"{base}/rejects").count())
+            assert read_keyed_table(spark, f"{base}/images").count() > 0
+        else:
+            assert not any(os.path.exists(f"{base}/{x}") for x in ("images", "blobs", "rejects", "metrics"))
